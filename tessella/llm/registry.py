@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .language_model import op9_language_model
 from .license import OP2_SQL, op2_license_scan
+from .pii import op3_pii
 from .quality import OP4_SQL, op4_quality_rules
 from .token_file import op8_token_file
 from .url_filter import OP7_SQL, op7_url_filter
 
-QUERIES = {"op2_license_scan": op2_license_scan, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_token_file": op8_token_file}
+QUERIES = {"op2_license_scan": op2_license_scan, "op3_pii": op3_pii, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_token_file": op8_token_file, "op9_language_model": op9_language_model}
 ORACLE_SQL = {"op2_license_scan": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_url_filter": OP7_SQL}
