@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import local_path, mix, shared_dir, slices, string_buffers, words
+from .common import local_path, mix, remove, shared_dir, slices, string_buffers, words
 
 #: Text bytes that a task counts before it sends pieces on.
 COUNT_BYTES = 16 << 20
@@ -318,6 +318,7 @@ def fit(texts: DataFrame, *, text_col: str = "text", folder: str | None = None)
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in values], names=["shard", "total", "n1", "n2", "n3", "n4", "more"])
 
     rows = _by_shard(counted.where("piece IS NOT NULL").select("shard", "piece"), shards, 5, write_stats, "shard long, total long, n1 long, n2 long, n3 long, n4 long, more long").collect()
+    remove(spark, "file://" + path)
     sums = [sum(r[k] for r in rows) for k in range(1, 7)]
     model.lower_total, model.lower_discounts = sums[0], discounts_of(sums[1:5])
     d = model.lower_discounts
