@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .decontaminate import op5_decontaminate
 from .language_model import op9_language_model
 from .license import OP2_SQL, op2_license_scan
 from .near_dup import op10_minhash_near_dup
@@ -11,5 +12,5 @@ from .quality import OP4_SQL, op4_quality_rules
 from .token_file import op8_token_file
 from .url_filter import OP7_SQL, op7_url_filter
 
-QUERIES = {"op2_license_scan": op2_license_scan, "op3_pii": op3_pii, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_token_file": op8_token_file, "op9_language_model": op9_language_model, "op10_minhash_near_dup": op10_minhash_near_dup}
+QUERIES = {"op2_license_scan": op2_license_scan, "op3_pii": op3_pii, "op4_quality_rules": op4_quality_rules, "op5_decontaminate": op5_decontaminate, "op6_bpe": op6_bpe, "op7_url_filter": op7_url_filter, "op8_token_file": op8_token_file, "op9_language_model": op9_language_model, "op10_minhash_near_dup": op10_minhash_near_dup}
 ORACLE_SQL = {"op2_license_scan": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_url_filter": OP7_SQL}
