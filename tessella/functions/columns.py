@@ -41,7 +41,7 @@ def centre_floor(k, size: float = GRID_M) -> Column:
 
 
 def pack_key(cx, cy, factor: int = 10_000_000) -> Column:
-    return col(cx) * F.lit(factor) + col(cy)
+    return col(cx).cast("bigint") * F.lit(factor) + col(cy)
 
 
 def unpack_key(key, factor: int = 10_000_000) -> tuple[Column, Column]:

@@ -116,7 +116,7 @@ def arbitrate_empty(answers: DataFrame, hint: float = 0.95) -> DataFrame:
     Elements settle it; two empty answers agree, a likely ocean needs one, and one stands if all others failed.
     """
     a = answers.groupBy("tile").agg(F.count_if(F.col("n_elements") > 0).alias("n_some"), F.count_if(F.col("n_elements") == 0).alias("n_empty"), F.count_if(F.col("n_elements").isNull()).alias("n_failed"), F.max("ocean").alias("ocean"))
-    verdict = F.when(F.col("n_some") > 0, "elements").when((F.col("n_empty") >= 2) | ((F.col("n_empty") >= 1) & (F.coalesce("ocean", F.lit(0.0)) >= hint)) | ((F.col("n_empty") == 1) & (F.col("n_failed") > 0)), "n_empty").when(F.col("n_empty") == 1, "ask_again").otherwise("failed")
+    verdict = F.when(F.col("n_some") > 0, "elements").when((F.col("n_empty") >= 2) | ((F.col("n_empty") >= 1) & (F.coalesce("ocean", F.lit(0.0)) >= hint)) | ((F.col("n_empty") == 1) & (F.col("n_failed") > 0)), "empty").when(F.col("n_empty") == 1, "ask_again").otherwise("failed")
     return a.select("tile", "n_some", "n_empty", "n_failed", verdict.alias("verdict"))
 
 
