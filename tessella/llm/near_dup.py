@@ -15,6 +15,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +23,23 @@ from pyspark.sql import types as T
 
 from .common import components, distinct_sets, mix, remove, shared_dir, shingles, slices, stored, string_buffers, words
 
-FUNCTIONS = 64
-RECALL = 0.999999
+FUNCTIONS = 128
+RECALL = 0.9999
 #: Depth at which all sets' paths begin; nodes above it are never small in a large corpus.
 FIRST_DEPTH = 2
-#: Deepest node; what is still large there is compared exhaustively, by a join that can be split.
-LAST_DEPTH = 8
+#: Deepest node; sets that still share large nodes there are compared exhaustively, block by block.
+LAST_DEPTH = 4
+#: Sets of a block.
+BLOCK_SETS = 1024
 #: A node with at most this many sets is compared exhaustively.
 SMALL_NODE = 24
+#: Trees of each round that compares a node's sets with one of them only.
+STAR_TREES = 5
+STAR_ROUNDS = 3
+#: Ids that are broadcast at most; beyond it the texts are shuffled.
+BROADCAST_IDS = 1 << 20
 _LOW_BITS = 0x5555555555555555
+SKETCH = tuple(f"k{k + 1}" for k in range(FUNCTIONS // 32))
 
 
 def _family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,8 +47,8 @@ def _family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return x[:n], x[n:] | np.uint64(1)
 
 
-def trees_for(similarity: float, recall: float = RECALL, depth: int = FIRST_DEPTH + 1) -> int:
-    """Trees so that a pair just at the similarity shares a node at the depth with the probability recall."""
+def trees_for(recall: float = RECALL, depth: int = FIRST_DEPTH) -> int:
+    """Trees so that a pair just at the threshold shares a node at the depth with the probability recall."""
     lost = 0.0
     for _ in range(depth):
         lost = math.exp(-(1 - lost))
@@ -47,7 +56,7 @@ def trees_for(similarity: float, recall: float = RECALL, depth: int = FIRST_DEPT
 
 
 def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, n (size of its set), cid (hash of the set), minwise (tokens, 4 bytes each), k1 and k2 (sketch)."""
+    """Per row: id, n (size of its set), cid (hash of the set), minwise (tokens, 4 bytes each), k1 to k4 (sketch: two bits of each token)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,15 +75,15 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                         least = np.minimum.reduceat((values ^ xors[k]) * factors[k], first)
                         tokens[some, k] = (mix(least) >> np.uint64(32)).astype(np.uint32)
                 two = (tokens & np.uint32(3)).astype(np.uint64) << (np.arange(FUNCTIONS, dtype=np.uint64) % np.uint64(32) * np.uint64(2))
-                k1, k2 = np.bitwise_or.reduce(two[:, :32], axis=1), np.bitwise_or.reduce(two[:, 32:], axis=1)
+                sketch = [np.bitwise_or.reduce(two[:, k : k + 32], axis=1) for k in range(0, FUNCTIONS, 32)]
                 raw = [tokens[k].tobytes() if n[k] else None for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(cid.view(np.int64)), pa.array(raw, pa.binary()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=["id", "n", "cid", "minwise", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(cid.view(np.int64)), pa.array(raw, pa.binary()), *(pa.array(k.view(np.int64)) for k in sketch)], names=["id", "n", "cid", "minwise", *SKETCH])
 
-    kinds = (slim.schema["id"].dataType, T.LongType(), T.LongType(), T.BinaryType(), T.LongType(), T.LongType())
-    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(("id", "n", "cid", "minwise", "k1", "k2"), kinds, strict=True)]))
+    kinds = (slim.schema["id"].dataType, T.LongType(), T.LongType(), T.BinaryType(), *[T.LongType()] * len(SKETCH))
+    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(("id", "n", "cid", "minwise", *SKETCH), kinds, strict=True)]))
 
 
-_ENTRY = "node long, cid long, k1 long, k2 long"
+_ENTRY = "node long, cid long"
 
 
 def _chosen(paths: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +103,7 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def entries(reps: DataFrame, trees: range, share: float) -> DataFrame:
-    """The nodes at FIRST_DEPTH that each set of reps (cid, minwise, k1, k2) belongs to, in all trees."""
+    """The nodes at FIRST_DEPTH that each set of reps (cid, minwise) belongs to, in the trees given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,38 +115,105 @@ def entries(reps: DataFrame, trees: range, share: float) -> DataFrame:
                 for _ in range(FIRST_DEPTH):
                     at, paths = _children(paths, tokens[place], share)
                     place = place[at]
-                take = pa.array(place)
-                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), *(part.column(c).take(take) for c in ("cid", "k1", "k2"))], names=["node", "cid", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), part.column("cid").take(pa.array(place))], names=["node", "cid"])
 
-    return reps.select("cid", "minwise", "k1", "k2").mapInArrow(run, _ENTRY)
+    return reps.select("cid", "minwise").mapInArrow(run, _ENTRY)
 
 
 def branches(large: DataFrame, share: float) -> DataFrame:
-    """The children of large nodes (node, cid, minwise, k1, k2)."""
+    """The children of large nodes (node, cid, minwise)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 at, paths = _children(b.column("node").to_numpy().view(np.uint64), _tokens(b.column("minwise")), share)
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), *(b.column(c).take(take) for c in ("cid", "k1", "k2"))], names=["node", "cid", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(at))], names=["node", "cid"])
 
-    return large.select("node", "cid", "minwise", "k1", "k2").mapInArrow(run, _ENTRY)
+    return large.select("node", "cid", "minwise").mapInArrow(run, _ENTRY)
 
 
-def _alike(similarity: float):
-    """Whether two sketches leave a similarity possible: five standard deviations below what it would show."""
-    share = similarity + (1 - similarity) / 4
-    least = math.floor(FUNCTIONS * share - 5 * math.sqrt(FUNCTIONS * share * (1 - share)))
-    differs = lambda a, b: F.bit_count((a.bitwiseXOR(b)).bitwiseOR(F.shiftrightunsigned(a.bitwiseXOR(b), 1)).bitwiseAND(F.lit(_LOW_BITS)))
-    return lambda x1, x2, y1, y2: F.lit(FUNCTIONS) - differs(x1, y1) - differs(x2, y2) >= least
+def _least(percent: int) -> int:
+    """Tokens whose two bits must agree: four standard deviations fewer than sets just at the similarity show."""
+    share = percent / 100 + (1 - percent / 100) / 4
+    return math.floor(FUNCTIONS * share - 4 * math.sqrt(FUNCTIONS * share * (1 - share)))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _agreement(x: str, y: str):
+    apart = F.lit(0)
+    for k in SKETCH:
+        d = F.col(x + k).bitwiseXOR(F.col(y + k))
+        apart = apart + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(_LOW_BITS)))
+    return F.lit(FUNCTIONS) - apart
+
+
+def _alike(percent: int, x: str, y: str):
+    """Whether two sets' sizes and sketches leave the similarity possible."""
+    n, m = F.col(x + "n"), F.col(y + "n")
+    return (100 * n >= percent * m) & (100 * m >= percent * n) & (_agreement(x, y) >= _least(percent))
+
+
+def in_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each group's members (grp, cid, root, n, sketch).
+
+    A group is dealt into blocks, and every two blocks meet in one task of at most twice a block's sets, whatever the
+    group's size. There, pairs of sets in one component, by then, are passed over; the rest of those that sizes and
+    sketches allow are confirmed on their full sets.
+    """
+    sizes = members.groupBy("grp").agg((F.count("*") / BLOCK_SETS).cast("int").alias("last"))
+    dealt = members.join(sizes, "grp").join(texts, "cid").withColumn("at", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    dealt = dealt.select("grp", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "cid", "root", "n", "text", *SKETCH)
+    least, popcount = _least(percent), np.bitwise_count
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("cid", ignore_index=True)
+        at, n, root = part["at"].to_numpy(), part["n"].to_numpy(), part["root"].tolist()
+        data, offsets = string_buffers(pa.array(part["text"], pa.large_string()))
+        values, count = distinct_sets(*shingles(*words(data, offsets), width))
+        full = np.split(values, np.cumsum(count)[:-1])
+        sketch = part[list(SKETCH)].to_numpy().view(np.uint64)
+        parent = {r: r for r in root}
+
+        def find(r: int) -> int:
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
+        links = []
+        across = part["i"].iat[0] != part["j"].iat[0]
+        cid = part["cid"].tolist()
+        for x in range(len(part)):
+            rest = slice(x + 1, None)
+            d = sketch[rest] ^ sketch[x]
+            agree = FUNCTIONS - popcount((d | (d >> np.uint64(1))) & np.uint64(_LOW_BITS)).sum(axis=1)
+            near = (agree >= least) & (100 * n[rest] >= percent * n[x]) & (100 * n[x] >= percent * n[rest])
+            if across:
+                near &= at[rest] != at[x]
+            places = np.flatnonzero(near)
+            for y in (places[np.argsort(-agree[places].astype(np.int64), kind="stable")] + x + 1).tolist():
+                r, q = find(root[x]), find(root[y])
+                if r != q:
+                    common = len(np.intersect1d(full[x], full[y], assume_unique=True))
+                    if 100 * common >= percent * (count[x] + count[y] - common):
+                        parent[max(r, q)] = min(r, q)
+                        links.append((cid[x], cid[y]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("grp", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def texts_of(need: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """(cid, text) of the sets in need; their ids are broadcast where they are few enough, by count."""
+    who = stored(reps.select("cid", "id").join(need, "cid"), path)
+    if who.count() <= BROADCAST_IDS:
+        who = F.broadcast(who)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(who, "id").select("cid", "text")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, id_col: str, text_col: str, path: str) -> DataFrame:
     """The pairs (a, b) of sets with 100 x intersection >= percent x union, counted on the full sets of the texts."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    who = reps.select("cid", "id").join(need, "cid")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(who, "id").select("cid", "text")
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), docs, reps, id_col, text_col, f"{path}-ids")
     both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("cid").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,48 +247,75 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     path = shared_dir(spark)
     share = 1 / (percent / 100 * FUNCTIONS)
-    trees = trees_for(percent / 100, recall)
-    alike = _alike(percent / 100)
+    trees = trees_for(recall)
     rows = stored(sets(docs, width, id_col, text_col), f"{path}/sets")
     classes = stored(rows.where("n > 0").groupBy("cid").agg(F.min("id").alias("id")), f"{path}/classes")
-    reps = stored(rows.where("n > 0").join(classes, ["cid", "id"]).select("cid", "id", "minwise", "k1", "k2").dropDuplicates(["cid"]), f"{path}/reps")
-
-    # A few trees first: every set of a node with the node's first set. It joins groups of copies at their cost in rows.
-    few = entries(reps, range(min(trees, 8)), share)
-    nodes = few.groupBy("node").agg(F.min("cid").alias("a"), F.count("*").alias("size")).where("size > 1").select("node", "a")
-    centres = nodes.join(reps.select(F.col("cid").alias("a"), F.col("k1").alias("a1"), F.col("k2").alias("a2")), "a")
-    star = few.join(centres, "node").where((F.col("a") != F.col("cid")) & alike(F.col("a1"), F.col("a2"), F.col("k1"), F.col("k2"))).select("a", F.col("cid").alias("b")).distinct()
-    links = stored(confirmed(stored(star, f"{path}/star"), docs, reps, width, percent, id_col, text_col), f"{path}/links")
-    roots = stored(components(links, f"{path}/first"), f"{path}/roots")
+    reps = stored(rows.where("n > 0").join(classes, ["cid", "id"]).select("cid", "id", "n", "minwise", *SKETCH).dropDuplicates(["cid"]), f"{path}/reps")
+    looks = {x: reps.select(F.col("cid").alias(x), *(F.col(k).alias(x + k) for k in ("n", *SKETCH))) for x in "ab"}
+    roots, links = None, None
+
+    def rooted(level: DataFrame, name: str) -> DataFrame:
+        """level with each set's component so far."""
+        out = level.withColumn("root", F.col("cid")) if roots is None else level.join(roots, level["cid"] == roots["id"], "left").select("node", "cid", F.coalesce("root", "cid").alias("root"))
+        return stored(out, f"{path}/{name}")
+
+    def add(pairs: DataFrame, name: str) -> None:
+        """Confirm pairs and join the components that they link."""
+        join(confirmed(stored(pairs, f"{path}/{name}-pairs"), docs, reps, width, percent, id_col, text_col, f"{path}/{name}"), name)
+
+    def join(found: DataFrame, name: str) -> None:
+        nonlocal roots, links
+        more = stored(found, f"{path}/{name}-links")
+        if links is None or not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+            roots = stored(components(links, f"{path}/{name}"), f"{path}/{name}-roots")
+
+    # A few trees first, each set of a node with one set of it, and of these partners only the most alike: groups of copies become
+    # components at a cost in proportion to their rows.
+    for k in range(STAR_ROUNDS):
+        least = F.min if k % 2 == 0 else F.max
+        few = rooted(entries(reps, range(trees + k * STAR_TREES, trees + (k + 1) * STAR_TREES), share), f"few{k}")
+        nodes = few.groupBy("node").agg(least("cid").alias("a"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node", "a")
+        star = few.join(nodes, "node").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"), F.col("root").alias("broot")).distinct()
+        if roots is not None:
+            star = star.join(roots.select(F.col("id").alias("a"), F.col("root").alias("aroot")), "a", "left").where(F.coalesce("aroot", "a") != F.col("broot"))
+        near = star.select("a", "b").join(looks["a"], "a").join(looks["b"], "b").where(_alike(percent, "a", "b"))
+        add(near.groupBy("b").agg(F.max_by("a", _agreement("a", "b")).alias("a")).select("a", "b"), f"star{k}")
+        remove(spark, f"{path}/few{k}")
 
     # All trees: pairs of sets that are not yet in one component.
-    level = entries(reps, range(trees), share)
-    found = None
+    level, found = entries(reps, range(trees), share), None
     for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
-        known = level.join(roots, level["cid"] == roots["id"], "left").select("node", "cid", "k1", "k2", F.coalesce("root", "cid").alias("root"))
-        known = stored(known, f"{path}/level{depth}")
+        known = rooted(level, f"level{depth}")
         mixed = known.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node", "size")
-        mixed = stored(mixed, f"{path}/mixed{depth}")
-        now = mixed.where(F.col("size") <= SMALL_NODE) if depth < LAST_DEPTH else mixed
-        small = known.join(now.select("node"), "node")
-        x, y = small.alias("x"), small.alias("y")
-        pairs = x.join(y, F.col("x.node") == F.col("y.node")).where((F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root")) & alike(F.col("x.k1"), F.col("x.k2"), F.col("y.k1"), F.col("y.k2"))).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
+        mixed = stored(known.join(mixed, "node").select("node", "cid", "root", "size"), f"{path}/mixed{depth}")
+        small = stored(mixed.where(F.col("size") <= SMALL_NODE).join(reps.select("cid", "n", *SKETCH), "cid"), f"{path}/small{depth}")
+        x, y = (small.select("node", F.col("cid").alias(c), F.col("root").alias(c + "root"), *(F.col(k).alias(c + k) for k in ("n", *SKETCH))) for c in "ab")
+        pairs = x.join(y, (x["node"] == y["node"]) & (F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & _alike(percent, "a", "b")).select("a", "b").distinct()
         pairs = stored(pairs, f"{path}/pairs{depth}")
         found = pairs if found is None else found.unionByName(pairs)
-        if depth == LAST_DEPTH or mixed.where(F.col("size") > SMALL_NODE).isEmpty():
+        large = mixed.where(F.col("size") > SMALL_NODE)
+        if depth == LAST_DEPTH or large.isEmpty():
             break
-        large = known.join(mixed.where(F.col("size") > SMALL_NODE).select("node"), "node")
         level = branches(large.join(reps.select("cid", "minwise"), "cid"), share)
-    more = stored(confirmed(found.distinct(), docs, reps, width, percent, id_col, text_col), f"{path}/more")
-    if not more.isEmpty():
-        roots = stored(components(links.unionByName(more), f"{path}/last"), f"{path}/roots2")
+    add(found.distinct(), "all")
+
+    # What is left in large nodes: sets that share such nodes form groups, each compared as a whole.
+    rest = rooted(large.select("node", "cid"), "rest")
+    mixed = rest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node")
+    rest = stored(rest.join(mixed, "node"), f"{path}/rest-mixed")
+    if not rest.isEmpty():
+        groups = components(rest.select(F.col("node").alias("a"), F.col("cid").alias("b")), f"{path}/groups").withColumnRenamed("root", "grp")
+        members = rest.select("cid", "root").distinct().join(groups, F.col("cid") == F.col("id")).select("grp", "cid", "root").join(reps.select("cid", "n", *SKETCH), "cid")
+        members = stored(members, f"{path}/members")
+        join(in_blocks(members, texts_of(members.select("cid"), docs, reps, id_col, text_col, f"{path}/member-ids"), width, percent).distinct(), "blocks")
 
     linked = classes.join(roots.select(F.col("id").alias("cid"), "root"), "cid")
     least = linked.groupBy("root").agg(F.min("id").alias("component"))
     linked = linked.join(least, "root").select("cid", "component")
     known = classes.join(linked, "cid", "left").select("cid", F.coalesce("component", "id").alias("component"))
     known = stored(known, f"{path}/components")
-    for part in ("level", "mixed"):
+    for part in ("level", "mixed", "small"):
         for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
             remove(spark, f"{path}/{part}{depth}")
     out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(known, "cid", "left")
