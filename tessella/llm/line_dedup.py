@@ -62,10 +62,22 @@ class Lines:
     def part(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         return (self.sums[e] - self.sums[s]) * self.inverse[s]
 
+    def counts(self) -> np.ndarray:
+        """Eight numbers of four bits for each line: how many of its code points fall into each of eight classes, modulo
+        16. An edit changes at most two of them by one."""
+        kind = (mix(np.arange(256, dtype=np.uint64)) & np.uint64(7)).astype(np.uint8)[self.points & np.uint32(255)]
+        out = np.zeros(len(self.starts), np.uint32)
+        for k in range(8):
+            sums = np.zeros(len(kind) + 1, np.uint32)
+            np.cumsum(kind == k, out=sums[1:])
+            out |= ((sums[self.ends] - sums[self.starts]) & np.uint32(15)) << np.uint32(4 * k)
+        return out
+
     def keys(self, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, line hash, whether it probes) of the distinct lines."""
+        """(key, the distinct line's place, whether it probes), and the places' lines: self.one."""
         _, one = np.unique(self.hash, return_index=True)
-        start, size, line = self.starts[one], (self.ends - self.starts)[one], self.hash[one]
+        self.one = one
+        start, size, line = self.starts[one], (self.ends - self.starts)[one], np.arange(len(one))
         keys, lines, probes = [], [], []
         count = edits + 1
 
@@ -164,8 +176,17 @@ def lines_of(slim: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, f"id {kind}, copy long, line int, h long")
 
 
+def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The least sum of differences of counts() that two lines can have, as the counts are known modulo 16."""
+    out = np.zeros(len(x), np.int64)
+    for k in range(8):
+        d = ((x >> np.uint32(4 * k)) - (y >> np.uint32(4 * k))) & np.uint32(15)
+        out += np.minimum(d, np.uint32(16) - d)
+    return out
+
+
 def candidates(slim: DataFrame, edits: int) -> DataFrame:
-    """(a, b) with a < b: hashes of lines that share a key."""
+    """(a, b) with a < b: hashes of lines that share a key and whose character counts allow so few edits."""
     parts = slim._jdf.queryExecution().toRdd().getNumPartitions()
     shards = max(32, SHARDS_PER_PARTITION * parts)
 
@@ -173,13 +194,15 @@ def candidates(slim: DataFrame, edits: int) -> DataFrame:
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):
-                keys, lines, probes = Lines(data, at[i : j + 1]).keys(edits)
+                found = Lines(data, at[i : j + 1])
+                keys, lines, probes = found.keys(edits)
                 shard = (keys % np.uint64(shards)).astype(np.int64)
                 order = np.lexsort((probes, shard))
-                keys, lines, probes, shard = keys[order], lines[order], probes[order], shard[order]
+                keys, lines, probes, shard = (keys[order] >> np.uint64(32)).astype(np.uint32), lines[order], probes[order], shard[order]
+                line, sign = found.hash[found.one][lines], found.counts()[found.one][lines]
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
                 first = np.searchsorted(shard * 2 + probes, np.arange(shards) * 2 + 1)
-                pieces = [keys[s:e].tobytes() + lines[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+                pieces = [line[s:e].tobytes() + keys[s:e].tobytes() + sign[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(shards, dtype=np.int32)), pa.array((first - cuts[:-1]).astype(np.int32)), pa.array(pieces, pa.binary())], names=["shard", "plain", "piece"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,40 +210,47 @@ def candidates(slim: DataFrame, edits: int) -> DataFrame:
         for b in batches:
             for shard, plain, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held.setdefault(shard, []).append((plain, piece))
-        for pieces in held.values():
-            raw = [(n, np.frombuffer(x, np.uint64)) for n, x in pieces]
-            keys, lines = (np.concatenate([x[half * (len(x) // 2) : (half + 1) * (len(x) // 2)] for _, x in raw]) for half in (0, 1))
-            probe = np.concatenate([np.arange(len(x) // 2) >= n for n, x in raw])
+        for shard, pieces in held.items():
+            size = [len(x) // 16 for _, x in pieces]
+            lines = np.concatenate([np.frombuffer(x, np.uint64, n) for n, (_, x) in zip(size, pieces, strict=True)])
+            keys = np.concatenate([np.frombuffer(x, np.uint32, n, 8 * n) for n, (_, x) in zip(size, pieces, strict=True)])
+            sign = np.concatenate([np.frombuffer(x, np.uint32, n, 12 * n) for n, (_, x) in zip(size, pieces, strict=True)])
+            probe = np.concatenate([np.arange(n) >= plain for n, (plain, _) in zip(size, pieces, strict=True)])
             order = np.lexsort((lines, probe, keys))
-            keys, lines, probe = keys[order], lines[order], probe[order]
+            keys, lines, probe, sign = keys[order], lines[order], probe[order], sign[order]
             fresh = np.ones(len(keys), bool)
             fresh[1:] = (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1]) | (probe[1:] != probe[:-1])
-            keys, lines, probe = keys[fresh], lines[fresh], probe[fresh]
+            keys, lines, probe, sign = keys[fresh], lines[fresh], probe[fresh], sign[fresh]
             begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             ends = np.append(begins[1:], len(keys))
             plain = ends - begins - np.add.reduceat(probe.astype(np.int64), begins) if len(begins) else begins
             rows, common = [], []
+            # A line's own key and probe make a run of two.
             for s, e, n in zip(*(x[(plain > 0) & (plain < ends - begins) & (ends - begins > 2)].tolist() for x in (begins, ends, plain)), strict=True):
                 if n * (e - s - n) <= OWN_PAIRS:
-                    x, y = np.repeat(lines[s : s + n], e - s - n), np.tile(lines[s + n : e], n)
-                    rows.append(np.stack([x, y])[:, x != y])
+                    x, y = np.repeat(np.arange(s, s + n), e - s - n), np.tile(np.arange(s + n, e), n)
+                    near = (lines[x] != lines[y]) & (_counts_apart(sign[x], sign[y]) <= 2 * edits)
+                    rows.append(np.stack([lines[x[near]], lines[y[near]]]))
                 else:
                     common.append((s, e))
-            # A line's own key and probe make a run of two.
-            pairs = np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.uint64)
-            two = pairs.view(np.int64)
+            two = (np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.uint64)).view(np.int64)
             low, high = np.minimum(two[0], two[1]), np.maximum(two[0], two[1])
             distinct = np.unique(np.stack([low, high], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(distinct), pa.int64()), pa.array(distinct[:, 0]), pa.array(distinct[:, 1]), pa.nulls(len(distinct), pa.bool_())], names=["k", "a", "b", "probe"])
+            none = pa.nulls(len(distinct), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(distinct[:, 0]), pa.array(distinct[:, 1]), none, pa.nulls(len(distinct), pa.bool_())], names=["k", "a", "b", "sign", "probe"])
             for s, e in common:
-                yield pa.RecordBatch.from_arrays([pa.array(keys[s:e].view(np.int64)), pa.array(lines[s:e].view(np.int64)), pa.nulls(e - s, pa.int64()), pa.array(probe[s:e])], names=["k", "a", "b", "probe"])
+                key = keys[s:e].astype(np.int64) * shards + shard
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lines[s:e].view(np.int64)), pa.nulls(e - s, pa.int64()), pa.array(sign[s:e].astype(np.int64)), pa.array(probe[s:e])], names=["k", "a", "b", "sign", "probe"])
 
-    met = slim.mapInArrow(make, "shard int, plain int, piece binary").repartitionById(shards, "shard").mapInArrow(meet, "k long, a long, b long, probe boolean")
+    met = slim.mapInArrow(make, "shard int, plain int, piece binary").repartitionById(shards, "shard").mapInArrow(meet, "k long, a long, b long, sign long, probe boolean")
     met = stored(met, f"{shared_dir(slim.sparkSession)}/met")
     common = met.where("k IS NOT NULL")
-    index = common.where("NOT probe").select("k", "a", F.pmod(F.xxhash64("a"), F.lit(SALT)).alias("salt"))
-    probes = common.where("probe").select("k", F.col("a").alias("b"), F.explode(F.expr(f"sequence(0L, {SALT - 1}L)")).alias("salt"))
-    dealt = index.join(probes, ["k", "salt"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    index = common.where("NOT probe").select("k", "a", F.col("sign").alias("x"), F.pmod(F.xxhash64("a"), F.lit(SALT)).alias("salt"))
+    probes = common.where("probe").select("k", F.col("a").alias("b"), F.col("sign").alias("y"), F.explode(F.expr(f"sequence(0L, {SALT - 1}L)")).alias("salt"))
+    nibble = lambda c, k: F.shiftright(F.col(c), 4 * k).bitwiseAND(F.lit(15))
+    gap = [F.pmod(nibble("x", k) - nibble("y", k), F.lit(16)) for k in range(8)]
+    apart = sum((F.least(g, F.lit(16) - g) for g in gap), F.lit(0))
+    dealt = index.join(probes, ["k", "salt"]).where((F.col("a") != F.col("b")) & (apart <= 2 * edits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return met.where("k IS NULL").select("a", "b").unionByName(dealt).distinct()
 
 
