@@ -29,7 +29,8 @@ BLOCK = 128
 PERCENTILE = 90
 #: A record is closed once it has this many ids; a single longer document is a record of its own.
 RECORD_IDS = 1 << 18
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers; beyond it the table starts anew, so memory is bounded.
+REMEMBERED = 1_000_000
 _HEADER = struct.Struct("<4sIQ")
 _MAGIC = b"PFB1"
 #: The vocabulary's pre-split pattern over lower-case text below U+0180, classes written out, commonest first.
@@ -66,7 +67,7 @@ def pack(ids: np.ndarray) -> bytes:
     for w in np.unique(width):
         if w:
             rows = np.flatnonzero(width == w)
-            bits = ((x[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
+            bits = np.unpackbits(x[rows].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, : int(w)]
             body = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             packed[(starts[rows].astype(np.int64)[:, None] + np.arange(body.shape[1])).ravel()] = body.ravel()
     parts = (low.astype("<u4"), width, odd.sum(axis=1).astype(np.uint8), starts.astype("<u8"), packed, where[:, 1].astype(np.uint8), x[odd].astype("<u4"))
@@ -102,11 +103,9 @@ class Blocks:
             if w:
                 rows = np.flatnonzero(width == w)
                 body = self.packed[self.starts[first + rows].astype(np.int64)[:, None] + np.arange(int(w) * BLOCK // 8)]
-                bits = np.unpackbits(body, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
-                whole = np.zeros((len(rows), BLOCK), np.uint32)
-                for k in range(int(w)):
-                    whole |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-                out[rows] = whole
+                bits = np.zeros((len(rows) * BLOCK, 32), np.uint8)
+                bits[:, : int(w)] = np.unpackbits(body, axis=1, bitorder="little").reshape(-1, int(w))
+                out[rows] = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(len(rows), BLOCK)
         skip = int(self.odd[:first].sum(dtype=np.int64))
         count = self.odd[first:last].astype(np.int64)
         row = np.repeat(np.arange(last - first), count)
@@ -119,6 +118,19 @@ class Blocks:
 # ---------------------------------------------------------------- encoding
 
 
+def _needs_library(text: str) -> bool:
+    """_LIBRARY_ONLY.search(), by faster scans for the commonest texts."""
+    if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return True
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _LIBRARY_ONLY.search(text) is not None
+    return False
+
+
 class Encoder:
     """The library's encoding, with the ids of words remembered: its pre-split never joins what white space parts.
 
@@ -158,7 +170,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and the number for each."""
-        whole = {k: t for k, t in enumerate(texts) if _LIBRARY_ONLY.search(t)}
+        whole = {k: t for k, t in enumerate(texts) if _needs_library(t)}
         split = [[] if k in whole else t.lower().split() for k, t in enumerate(texts)]
         flat = [w for s in split for w in s]
         fresh = set(flat).difference(self.at)
