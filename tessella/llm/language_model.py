@@ -205,7 +205,7 @@ _lookups: dict[str, _Lookup] = {}
 
 
 def lookup(model: Model) -> _Lookup:
-    if model.folder not in _lookups:
+    if model.folder not in _lookups or _lookups[model.folder].model != model:  # a reused worker may hold an unfinished one
         _lookups.clear()
         _lookups[model.folder] = _Lookup(model)
     return _lookups[model.folder]
