@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that one numpy pass handles; a longer single text is a pass of its own.
 SLICE_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch, checked as rows are added; the default bounds rows alone, whatever their length.
+BATCH_BYTES = 4 << 20
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WHITE = np.zeros(256, bool)
@@ -43,6 +46,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, so that long texts do not add up, unless the session sets a bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

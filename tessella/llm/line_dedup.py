@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, mix, powers, shared_dir, slices, stored, string_buffers
+from .common import bound_batches, components, mix, powers, shared_dir, slices, stored, string_buffers
 
 EDITS = 2
 #: Shorter lines recur rightly ("Yes.", a heading) and are left alone.
@@ -297,6 +297,7 @@ def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     columns cannot clash. Every line takes part, whatever its length beyond MIN_CHARS.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     path = shared_dir(spark)
     slim = _slim(docs, id_col, text_col)
     lines = stored(lines_of(slim), f"{path}/lines")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, distinct_sets, mix, remove, shared_dir, shingles, slices, stored, string_buffers, words
+from .common import bound_batches, components, distinct_sets, mix, remove, shared_dir, shingles, slices, stored, string_buffers, words
 
 FUNCTIONS = 128
 RECALL = 0.9999
@@ -31,6 +31,8 @@ FIRST_DEPTH = 2
 LAST_DEPTH = 4
 #: Sets of a block.
 BLOCK_SETS = 1024
+#: Sets whose paths are followed at once.
+PATH_SETS = 200
 #: A node with at most this many sets is compared exhaustively.
 SMALL_NODE = 24
 #: Trees of each round that compares a node's sets with one of them only.
@@ -107,8 +109,8 @@ def entries(reps: DataFrame, trees: range, share: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
+            for i in range(0, b.num_rows, PATH_SETS):
+                part = b.slice(i, PATH_SETS)
                 tokens = _tokens(part.column("minwise"))
                 place = np.tile(np.arange(part.num_rows), len(trees))
                 paths = mix(np.repeat(np.array(trees, np.uint64) + np.uint64(1 << 40), part.num_rows))
@@ -125,9 +127,10 @@ def branches(large: DataFrame, share: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                at, paths = _children(b.column("node").to_numpy().view(np.uint64), _tokens(b.column("minwise")), share)
-                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(at))], names=["node", "cid"])
+            for i in range(0, b.num_rows, PATH_SETS):
+                part = b.slice(i, PATH_SETS)
+                at, paths = _children(part.column("node").to_numpy().view(np.uint64), _tokens(part.column("minwise")), share)
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), part.column("cid").take(pa.array(at))], names=["node", "cid"])
 
     return large.select("node", "cid", "minwise").mapInArrow(run, _ENTRY)
 
@@ -245,6 +248,7 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     is found with probability `recall`; a more similar one is missed still more rarely.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     path = shared_dir(spark)
     share = 1 / (percent / 100 * FUNCTIONS)
     trees = trees_for(recall)
