@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, string_buffers
+from .common import slices, string_buffers, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: The public pre-split pattern of this vocabulary.
@@ -188,15 +188,9 @@ class Automaton:
         return sum(n), ",".join(ids), b"".join(labels)
 
 
-_automata: dict[str, Automaton] = {}
-
-
 def automaton(path: str | None = None) -> Automaton:
-    """The compiled automaton, once for each process."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    if path not in _automata:
-        _automata[path] = Automaton(path)
-    return _automata[path]
+    """The compiled automaton, kept by the process."""
+    return table("bpe", path or public_tokenizers.path(VOCABULARY), Automaton)
 
 
 def round_trip(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:

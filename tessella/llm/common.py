@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,25 @@ def local_path(path: str) -> str:
     raise ValueError(f"memory-mapped arrays need a mounted spark.checkpoint.dir, not {path}")
 
 
+# ---------------------------------------------------------------- tables of a worker
+
+_tables: dict[tuple[str, str], object] = {}
+
+
+def release(kind: str | None = None) -> None:
+    """Drop the tables that other operators left in this process; workers are used again by later stages."""
+    for key in [k for k in _tables if k[0] != kind]:
+        del _tables[key]
+
+
+def table(kind: str, key: str, make: Callable[[str], object]) -> object:
+    """make(key), once for each process while no other operator runs in it."""
+    release(kind)
+    if (kind, key) not in _tables:
+        _tables[kind, key] = make(key)
+    return _tables[kind, key]
+
+
 # ---------------------------------------------------------------- word arrays
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, components, mix, powers, shared_dir, slices, stored, string_buffers
+from .common import bound_batches, components, mix, powers, release, shared_dir, slices, stored, string_buffers
 
 EDITS = 2
 #: Shorter lines recur rightly ("Yes.", a heading) and are left alone.
@@ -165,6 +165,7 @@ def lines_of(slim: DataFrame) -> DataFrame:
     """(id, copy, line, h) of every line long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, components, distinct_sets, mix, remove, shared_dir, shingles, slices, stored, string_buffers, words
+from .common import bound_batches, components, distinct_sets, mix, release, remove, shared_dir, shingles, slices, stored, string_buffers, words
 
 FUNCTIONS = 128
 RECALL = 0.9999
@@ -62,6 +62,7 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         xors, factors = _family(FUNCTIONS, 1)
         for b in batches:
             data, at = string_buffers(b.column("text"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_dir, slices, string_buffers
+from .common import shared_dir, slices, string_buffers, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -195,13 +195,8 @@ class Encoder:
         return ids, number
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return table("token_file", path, Encoder)
 
 
 # ---------------------------------------------------------------- files
