@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, string_buffers, table
+from .common import bound_batches, slices, string_buffers, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: The public pre-split pattern of this vocabulary.
 PATTERN = public_tokenizers.PATTERN
-#: Words whose arcs a worker remembers; beyond it the table starts anew, so memory is bounded.
-REMEMBERED = 400_000
+#: Words whose arcs a worker remembers, in two tables: when the newer is full it replaces the older, so common words stay.
+REMEMBERED = 100_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -84,7 +84,8 @@ class Automaton:
                 node = node.setdefault(c, {})
             node[None] = i
         self._arcs: dict[tuple[int, int], bool] = {}
-        self._words: dict[str, tuple[list[int], str, bytes]] = {}
+        self._words: dict[str, tuple[int, str, bytes]] = {}
+        self._older: dict[str, tuple[int, str, bytes]] = {}
 
     def arc(self, state: int, token: int) -> bool:
         """Whether the state behind one token has an arc with the other; looked up once, then a table entry."""
@@ -100,7 +101,7 @@ class Automaton:
                         break
                 if not got:
                     break
-            if len(self._arcs) > 4 * REMEMBERED:
+            if len(self._arcs) > 2 * REMEMBERED:
                 self._arcs.clear()
             self._arcs[key] = got
         return got
@@ -154,10 +155,12 @@ class Automaton:
                     yield w, False
 
     def _entry(self, word: str) -> tuple[int, str, bytes]:
-        ids = self.encode_word(word.encode())
-        got = (len(ids), ",".join(map(str, ids)), b"".join(self.label[i] for i in ids))
-        if len(self._words) >= REMEMBERED:
-            self._words.clear()
+        got = self._older.get(word)
+        if got is None:
+            ids = self.encode_word(word.encode())
+            got = (len(ids), ",".join(map(str, ids)), b"".join(self.label[i] for i in ids))
+        if len(self._words) >= REMEMBERED // 2:
+            self._older, self._words = self._words, {}
         self._words[word] = got
         return got
 
@@ -199,6 +202,7 @@ def round_trip(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Null and empty texts have no tokens. Repeated rows are encoded one by one; only the id is carried over, so other
     columns cannot clash. No shuffle; a worker holds one text's pieces, the automaton and a bounded table of words.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
