@@ -1,8 +1,8 @@
 """Licence recognition: sentences to identifiers, identifier sequences to licences.
 
-A text is split into sentences, each is normalised (lower case, letters and digits only) and looked up among known
-licence sentences; rules in order are then matched against a text's sequence of identifiers. All of it is one
-projection: no join, no shuffle.
+A text is split into sentences, each is normalised (lower case, letters and digits only) and known licence sentences are
+found in it as sequences of words; rules in order are then matched against a text's sequence of identifiers. All of it is
+one projection: no join, no shuffle.
 """
 
 from __future__ import annotations
@@ -47,25 +47,28 @@ RULES = (
     ("proprietary", " R1 "),
 )
 _IMPLIED = (("Apache-2.0-header", "Apache-2.0"), ("BSD-3-Clause", "BSD"))
-#: A sentence ends at a line break, at ; ! or ?, at : or , before white space, and at a period before white space or the end.
-SPLIT = r"[\n;!?]+|[.:]+(?=\s|$)|,(?=\s)"
+#: A sentence ends at a blank line, at ; ! or ?, and at a period before white space or the end.
+SPLIT = r"\n\s*\n|[;!?]+|[.]+(?=\s|$)"
 
 
 def recognise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: Sequence[tuple[str, str]] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """Per row: id_col, n_sentences (known ones found), sentence_ids (in order, joined by spaces), licenses (joined by
     commas, in the order of the rules; empty if none).
 
-    Null and empty texts have none. A known sentence counts each time it occurs. Repeated rows are judged one by one;
-    only the id is carried over, so other columns cannot clash; a text's length bounds its memory.
+    Null and empty texts have none. A known sentence counts each time it occurs, also within a longer sentence; of those
+    that begin at one word the longest counts. Repeated rows are judged one by one; only the id is carried over, so other
+    columns cannot clash; a text's length bounds its memory.
     """
     quoted = "`" + text_col.replace("`", "``") + "`"
     table = "map(" + ", ".join(f"'{s}', '{k}'" for s, k in sentences) + ")"
-    starts = sorted({s.split(" ")[0] for s, _ in sentences})
-    normal = r"trim(regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', ' '))"
-    # A cheap look at the first word spares most sentences the normalisation; it rejects none that the table has.
-    likely = f"x RLIKE '^[^\\\\p{{L}}\\\\p{{N}}]*(?i:{'|'.join(starts)})[^\\\\p{{L}}\\\\p{{N}}]'"
+    normal = r"concat(' ', trim(regexp_replace(x, '[^\\p{L}\\p{N}]+', ' ')), ' ')"
+    known = "(?<= )(?=(" + "|".join(sorted((s for s, _ in sentences), key=len, reverse=True)) + ") )"
+    # A cheap look for two first words spares most texts the rest; it rejects none that holds a sentence of the table.
+    starts = sorted({r"[^\\p{L}\\p{N}]+".join(s.split(" ")[:2]) for s, _ in sentences})
+    text = f"lower(CAST({quoted} AS STRING))"
     split = SPLIT.replace("\\", "\\\\")
-    ids = f"filter(transform(filter(split(coalesce(CAST({quoted} AS STRING), ''), '{split}'), x -> {likely}), x -> try_element_at({table}, {normal})), x -> x IS NOT NULL)"
+    found = f"flatten(transform(split(t, '{split}'), x -> regexp_extract_all({normal}, '{known}', 1)))"
+    ids = let(text, "t", f"CASE WHEN t RLIKE '{'|'.join(starts)}' THEN transform({found}, x -> element_at({table}, x)) ELSE CAST(array() AS array<string>) END")
     drop = " ".join(f"WHEN r = '{b}' THEN NOT array_contains(h, '{a}')" for a, b in _IMPLIED)
     all_rules = "array(" + ", ".join(f"CASE WHEN i RLIKE '{p}' THEN '{n}' END" for n, p in rules) + ")"
     hits = let(f"filter({all_rules}, r -> r IS NOT NULL)", "h", f"array_join(filter(h, r -> CASE {drop} ELSE true END), ',')")
