@@ -3,9 +3,9 @@
 A window of a document with as many words as a benchmark item gets a 64-bit SimHash of its five-word shingles. A
 multi-index of Hamming blocks finds every window within RADIUS bits of an item: of BLOCKS blocks at least one differs in
 at most RADIUS // BLOCKS bits, and the index holds all such neighbours of each block. Candidates are verified by the
-exact weighted similarity, the sum of the smaller over the sum of the larger shingle counts. A window that shares no
-shingle with an item has similarity zero, so windows are fingerprinted at the offsets where one lines up. All of it is
-DataFrame and SQL functions.
+exact weighted similarity, the sum of the smaller over the sum of the larger shingle counts. A window reaches a
+similarity only with enough places whose shingle is one of the item's, in whatever order, so windows are fingerprinted at
+all offsets that cover so many. All of it is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ RADIUS = 20
 BLOCKS = 8
 #: Item shingles that are broadcast at most, by count; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+#: Ids that are broadcast at most, by count; beyond it a join shuffles.
+BROADCAST_IDS = 1 << 20
 _BITS = 64 // BLOCKS
 
 _WORDS = r"array_remove(split(lower(coalesce({t}, '')), '[ \u0009-\u000D]+'), '')"
@@ -64,21 +66,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     size = grams.count()
     slim = docs.select(F.col(id_col).alias("id"), F.explode(F.array(F.expr(_WORDS.format(t=f"CAST({_quoted(text_col)} AS STRING)")))).alias("w"))
 
-    # Where a shingle of an item lines up with one of the document, a window begins.
+    # The places of a document whose shingle an item has.
     hits = None
     for k in widths:
         body = let("w", "w", f"CASE WHEN size(w) < {k} THEN CAST(array() AS array<bigint>) ELSE {_shingles('0', 'size(w)', k)} END")
         found = slim.select("id", F.size("w").alias("words"), F.posexplode(F.expr(body)).alias("p", "h"))
-        found = found.join(_small(grams.where(F.col("k") == k), size), "h").select("id", "item", "m", "k", F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("words") - F.col("m"))).alias("o"))
+        found = found.join(_small(grams.where(F.col("k") == k).select("item", "m", "k", "h").distinct(), size), "h").select("id", "words", "item", "m", "k", "p")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         return docs.select(F.col(id_col)).join(benchmark.select(F.col(item_col)).limit(0)).limit(0).select(id_col, item_col, F.lit(0).alias("first_word"), F.lit(0.0).alias("similarity"))
-    windows = stored(hits.distinct(), f"{path}/windows")
+
+    # Each run of as many places as the similarity needs gives the offsets whose window covers it; those that the run
+    # before it covers too are left to that one. A window has n shingles, as many as the item or the whole document.
+    places = hits.groupBy("id", "words", "item", "m", "k").agg(F.sort_array(F.collect_set("p")).alias("p"))
+    places = places.withColumn("n", F.least("m", "words") - F.col("k") + 1)
+    places = places.withColumn("need", F.greatest(F.lit(1), F.ceil((F.lit(percent) * (F.col("m") - F.col("k") + 1 + F.col("n"))) / F.lit(100 + percent)).cast("int"))).where("size(p) >= need")
+    low = "greatest(0, p[i + need - 1] - n + 1, CASE WHEN i > 0 THEN p[i - 1] + 1 ELSE 0 END)"
+    spans = f"filter(transform(sequence(0, size(p) - need), i -> struct({low} AS a, least(p[i], words - least(m, words)) AS b)), x -> x.a <= x.b)"
+    windows = places.select("id", "item", "m", "k", F.explode(F.expr(f"flatten(transform({spans}, x -> sequence(x.a, x.b)))")).alias("o"))
+    windows = stored(windows.distinct(), f"{path}/windows")
 
     # Fingerprints of the windows, all of a document's at once.
     some = windows.groupBy("id").agg(F.collect_list(F.struct("item", "m", "k", "o")).alias("x"))
     made = "CASE " + " ".join(f"WHEN x.k = {k} THEN {_shingles('x.o', 'least(x.m, size(w))', k)}" for k in widths) + " END"
-    sets = docs.select(F.col(id_col).alias("id"), F.expr(f"CAST({_quoted(text_col)} AS STRING)").alias("t")).join(some, "id")
+    ids = stored(windows.select("id").distinct(), f"{path}/ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = docs.select(F.col(id_col).alias("id"), F.expr(f"CAST({_quoted(text_col)} AS STRING)").alias("t")).join(ids, "id", "left_semi").join(some, "id")
     sets = sets.select("id", F.explode(F.expr(let(_WORDS.format(t="t"), "w", f"transform(x, x -> struct(x.item AS item, x.o AS o, {made} AS s))"))).alias("y")).select("id", "y.item", "y.o", F.col("y.s").alias("ws"))
     prints = stored(sets.withColumn("wf", F.expr(_FINGERPRINT.format(s="ws"))), f"{path}/prints")
 

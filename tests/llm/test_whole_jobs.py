@@ -1,6 +1,9 @@
 """Cases that text operators once left out."""
 
-from tessella.llm import license
+import random
+from collections import Counter
+
+from tessella.llm import decontaminate, license
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.'
 BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products."
@@ -22,3 +25,39 @@ def test_licence_notices(spark):
     docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(NOTICES)], "doc_id long, text string")
     got = {r.doc_id: (r.n_sentences, r.sentence_ids, r.licenses) for r in license.recognise(docs).collect()}
     assert got == {i: (len(k.split()), k, n) for i, (_, k, n) in enumerate(NOTICES)}
+
+
+def brute(w, x, percent=80):
+    """The similarity and first word of the best window of w for the item x, if it is similar enough."""
+    k = min(5, len(x))
+    bags = lambda t: Counter(zip(*(t[j:] for j in range(k)), strict=False))
+    a, best = bags(x), None
+    for o in range(max(1, len(w) - len(x) + 1)):
+        b = bags(w[o : o + len(x)])
+        c, n = (a & b).total(), (a | b).total()
+        if 100 * c >= percent * n and (best is None or c / n > best[0]):
+            best = (c / n, o)
+    return best
+
+
+def test_reordered_leaks(spark):
+    r = random.Random(3)
+    new = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    items = {1: new(50), 2: new(60), 3: "one two three four five one two three four five six".split(), 4: new(3), 5: new(45)}
+    docs = {
+        1: new(70) + items[1][25:] + items[1][:25] + new(70),
+        2: new(9) + items[2][40:] + items[2][:20] + items[2][20:40] + new(30),
+        3: new(4) + items[3] * 3,
+        4: items[4] + new(2),
+        5: items[5][:42],
+        6: items[5][:20] + items[1][:30],
+        7: new(30) + items[5][15:30] + items[5][:15] + items[5][30:],
+        8: items[2][:30] + new(3) + items[2][30:],
+    }
+    table = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], f"{name} long, text string")
+    for percent in (80, 50):
+        want = {(d, k): b for d, w in docs.items() for k, x in items.items() if (b := brute(w, x, percent))}
+        got = {(x.doc_id, x.item_id): (x.similarity, x.first_word) for x in decontaminate.leaks(table(docs, "doc_id"), table(items, "item_id"), percent=percent, radius=64).collect()}
+        assert got == want
+    plain = {(x.doc_id, x.item_id) for x in decontaminate.leaks(table(docs, "doc_id"), table(items, "item_id")).collect()}
+    assert {(1, 1), (2, 2)} <= plain
