@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from .common import bound_batches, components, mix, powers, release, shared_dir, slices, stored, string_buffers
 
 EDITS = 2
-#: Shorter lines recur rightly ("Yes.", a heading) and are left alone.
+#: Shorter lines recur rightly ("Yes.", a heading): removal leaves them alone.
 MIN_CHARS = 24
+#: Lines of fewer code points for each edit are linked only if equal; the edits are a fifth of a line at most.
+CHARS_PER_EDIT = 5
 #: Pairs of one key that a shard writes out itself; a key with more is dealt out in SALT blocks.
 OWN_PAIRS = 20_000
 SALT = 32
@@ -34,9 +36,9 @@ _ONE = np.uint64(1)
 
 
 class Lines:
-    """The lines of a slice of rows: row, number in the row, bounds in code points, hash."""
+    """The lines of a slice of rows that have `least` code points: row, number in the row, bounds in code points, hash."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int):
         buf = data[offsets[0] : offsets[-1]]
         at = offsets - offsets[0]
         lead = (buf & 0xC0) != 0x80
@@ -55,7 +57,7 @@ class Lines:
         p, self.inverse = powers(len(self.points))
         self.sums = np.zeros(len(self.points) + 1, np.uint64)
         np.cumsum((self.points.astype(np.uint64) + _ONE) * p[: len(self.points)], out=self.sums[1:])
-        keep = self.ends - self.starts >= MIN_CHARS
+        keep = self.ends - self.starts >= least
         self.starts, self.ends, self.row, self.number = (x[keep] for x in (self.starts, self.ends, self.row, self.number))
         self.hash = mix(self.part(self.starts, self.ends) + (self.ends - self.starts).astype(np.uint64))
 
@@ -161,20 +163,20 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("copy"), "text")
 
 
-def lines_of(slim: DataFrame) -> DataFrame:
-    """(id, copy, line, h) of every line long enough."""
+def lines_of(slim: DataFrame, least: int) -> DataFrame:
+    """(id, copy, line, h, chars) of every line of at least `least` code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):
-                found = Lines(data, at[i : j + 1])
+                found = Lines(data, at[i : j + 1], least)
                 take = pa.array(found.row + i)
-                yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("copy").take(take), pa.array(found.number.astype(np.int32)), pa.array(found.hash.view(np.int64))], names=["id", "copy", "line", "h"])
+                yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("copy").take(take), pa.array(found.number.astype(np.int32)), pa.array(found.hash.view(np.int64)), pa.array((found.ends - found.starts).astype(np.int32))], names=["id", "copy", "line", "h", "chars"])
 
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"id {kind}, copy long, line int, h long")
+    return slim.mapInArrow(run, f"id {kind}, copy long, line int, h long, chars int")
 
 
 def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -186,7 +188,7 @@ def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidates(slim: DataFrame, edits: int) -> DataFrame:
+def candidates(slim: DataFrame, edits: int, least: int) -> DataFrame:
     """(a, b) with a < b: hashes of lines that share a key and whose character counts allow so few edits."""
     parts = slim._jdf.queryExecution().toRdd().getNumPartitions()
     shards = max(32, SHARDS_PER_PARTITION * parts)
@@ -195,7 +197,7 @@ def candidates(slim: DataFrame, edits: int) -> DataFrame:
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):
-                found = Lines(data, at[i : j + 1])
+                found = Lines(data, at[i : j + 1], least)
                 keys, lines, probes = found.keys(edits)
                 shard = (keys % np.uint64(shards)).astype(np.int64)
                 order = np.lexsort((probes, shard))
@@ -255,7 +257,7 @@ def candidates(slim: DataFrame, edits: int) -> DataFrame:
     return met.where("k IS NULL").select("a", "b").unionByName(dealt).distinct()
 
 
-def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int, path: str) -> DataFrame:
+def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int, least: int, path: str) -> DataFrame:
     """The pairs whose lines are within `edits` edits."""
     need = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h").select("h", "first.id", "first.copy"), f"{path}-need")
     ids = need.select("id", "copy").distinct()
@@ -266,7 +268,7 @@ def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int,
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):
-                x = Lines(data, at[i : j + 1])
+                x = Lines(data, at[i : j + 1], least)
                 _, one = np.unique(x.hash, return_index=True)
                 body = [x.points[s:e].tobytes() for s, e in zip(x.starts[one], x.ends[one], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(x.hash[one].view(np.int64)), pa.array(body, pa.binary())], names=["h", "body"])
@@ -288,23 +290,17 @@ def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int,
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
-    """Per line of at least MIN_CHARS code points: id_col, copy, line, class_id, class_line, n_links, kept.
-
-    line counts from 0 between line breaks. Lines that links of up to `edits` edits reach are a class, named by its first
-    line (smallest id, then copy, then line), the only one kept; n_links is the number of different lines linked with
-    it. copy is a hash of the text: rows with one id and different texts are told apart, equal rows count as one. A null
-    id sorts first. Null and empty texts and an empty table have no lines; only the id and the text are read, so other
-    columns cannot clash. Every line takes part, whatever its length beyond MIN_CHARS.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -> DataFrame:
+    """line_classes() and the lines' code points."""
     spark = docs.sparkSession
     bound_batches(spark)
     path = shared_dir(spark)
+    linked_from = max(least, CHARS_PER_EDIT * edits, 1)
     slim = _slim(docs, id_col, text_col)
-    lines = stored(lines_of(slim), f"{path}/lines")
+    lines = stored(lines_of(slim, least), f"{path}/lines")
     classes = stored(lines.groupBy("h").agg(F.min(F.struct("id", "copy", "line")).alias("first")), f"{path}/classes")
-    pairs = stored(candidates(slim, edits), f"{path}/pairs")
-    links = stored(verified(pairs, slim, classes, edits, f"{path}/verify"), f"{path}/links")
+    pairs = stored(candidates(slim, edits, linked_from), f"{path}/pairs")
+    links = stored(verified(pairs, slim, classes, edits, linked_from, f"{path}/verify"), f"{path}/links")
     roots = components(links, f"{path}/components")
     degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("h")).agg(F.count("*").alias("n_links"))
     linked = classes.join(roots.select(F.col("id").alias("h"), "root"), "h")
@@ -313,16 +309,30 @@ def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     known = stored(classes.join(linked, "h", "left").select("h", F.coalesce("best", "first").alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links")), f"{path}/known")
     out = lines.join(known, "h")
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("copy") == F.col("first.copy")) & (F.col("line") == F.col("first.line"))
-    return out.select(F.col("id").alias(id_col), "copy", "line", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), "n_links", kept.alias("kept"))
+    return out.select(F.col("id").alias(id_col), "copy", "line", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), "n_links", kept.alias("kept"), "chars")
+
+
+def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+    """Per line of at least `least` code points, 1 for every line that is not empty: id_col, copy, line, class_id,
+    class_line, n_links, kept.
+
+    line counts from 0 between line breaks. Lines that links of up to `edits` edits reach are a class, named by its first
+    line (smallest id, then copy, then line), the only one kept; n_links is the number of different lines linked with
+    it. Lines of fewer than CHARS_PER_EDIT code points for each edit are a class only with their equals. copy is a hash of
+    the text: rows with one id and different texts are told apart, equal rows count as one. A null id sorts first. Null and
+    empty texts and an empty table have no lines; only the id and the text are read, so other columns cannot clash.
+    """
+    return _classes(docs, id_col, text_col, edits, least).drop("chars")
 
 
-def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
-    """docs with all its columns, each text without the lines that its class keeps elsewhere.
+def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """docs with all its columns, each text without the lines of at least min_chars code points that its class keeps
+    elsewhere; shorter lines are in classes too.
 
     Rows whose text loses every line that has a word go; rows that had none stay as they are. A column n_chars becomes
     the new text's length in code points.
     """
-    drop = line_classes(docs, id_col=id_col, text_col=text_col, edits=edits).where("NOT kept").groupBy(F.col(id_col).alias("__id"), F.col("copy").alias("__copy")).agg(F.collect_set("line").alias("__lines"))
+    drop = _classes(docs, id_col, text_col, edits, 1).where(~F.col("kept") & (F.col("chars") >= min_chars)).groupBy(F.col(id_col).alias("__id"), F.col("copy").alias("__copy")).agg(F.collect_set("line").alias("__lines"))
     joined = docs.join(drop, docs[id_col].eqNullSafe(drop["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == drop["__copy"]), "left")
     quoted = "`" + text_col.replace("`", "``") + "`"
     text = F.expr(f"CASE WHEN __lines IS NULL THEN {quoted} ELSE array_join(filter(split({quoted}, '\\n'), (x, i) -> NOT array_contains(__lines, i)), '\n') END")
@@ -333,4 +343,4 @@ def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return line_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), least=1)

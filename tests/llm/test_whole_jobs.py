@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from tessella.llm import decontaminate, license
+from tessella.llm import decontaminate, license, line_dedup, registry
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.'
 BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products."
@@ -61,3 +61,15 @@ def test_reordered_leaks(spark):
         assert got == want
     plain = {(x.doc_id, x.item_id) for x in decontaminate.leaks(table(docs, "doc_id"), table(items, "item_id")).collect()}
     assert {(1, 1), (2, 2)} <= plain
+
+
+def test_short_lines(spark, tmp_path):
+    rows = [(1, "Ja.\n\nAll rights reserved.\nab"), (2, "Ja.\nAll rights reserve.\nNe."), (3, "Ja.\nac\nAll rights reserved.\n ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.line): (r.class_id, r.class_line, r.n_links, r.kept) for r in registry.QUERIES["op1_line_dedup"](spark, str(tmp_path)).collect()}
+    want = {(1, 0): (1, 0, 0, True), (1, 2): (1, 2, 1, True), (1, 3): (1, 3, 0, True), (2, 0): (1, 0, 0, False), (2, 1): (1, 2, 1, False), (2, 2): (2, 2, 0, True), (3, 0): (1, 0, 0, False), (3, 1): (3, 1, 0, True), (3, 2): (1, 2, 1, False), (3, 3): (3, 3, 0, True)}
+    assert got == want
+    texts = lambda n: {r.doc_id: r.text for r in line_dedup.without_repeated_lines(df, min_chars=n).collect()}
+    assert texts(24) == dict(rows)
+    assert texts(4) == {1: rows[0][1], 2: "Ja.\nNe.", 3: "Ja.\nac\n "}
