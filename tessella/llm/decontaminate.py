@@ -10,7 +10,7 @@ all offsets that cover so many. All of it is DataFrame and SQL functions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, stored
@@ -44,14 +44,13 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
-    """(id_col, item_col, first_word, similarity): each document and item with a window at least percent similar.
+def _key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart: the id, which may be null or repeated, and a hash of the text. A join on it keeps null ids."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("copy"))
 
-    The best window is given, the first of equally good ones. Words are lower-cased runs of anything but ASCII white
-    space. An item of fewer than five words is one shingle; a document with fewer words than the item is one window. Null
-    and empty texts have no words and match nothing. Repeated ids count as one document. Only ids and texts are read, so
-    other columns cannot clash; either table may be empty.
-    """
+
+def _scored(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, percent: int, radius: int) -> DataFrame | None:
+    """(id, item, o, similarity) of all similar windows, where id is a row's _key; None if no item has a word."""
     spark = docs.sparkSession
     path = shared_dir(spark)
     items = benchmark.select(F.col(item_col).alias("item"), F.expr(_WORDS.format(t=f"CAST({_quoted(item_text)} AS STRING)")).alias("w")).where("size(w) > 0")
@@ -64,7 +63,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     items = stored(items, f"{path}/items")
     grams = items.select("item", "m", "k", F.posexplode("s").alias("q", "h"))
     size = grams.count()
-    slim = docs.select(F.col(id_col).alias("id"), F.explode(F.array(F.expr(_WORDS.format(t=f"CAST({_quoted(text_col)} AS STRING)")))).alias("w"))
+    slim = docs.select(_key(id_col, text_col).alias("id"), F.explode(F.array(F.expr(_WORDS.format(t=f"CAST({_quoted(text_col)} AS STRING)")))).alias("w"))
 
     # The places of a document whose shingle an item has.
     hits = None
@@ -74,7 +73,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         found = found.join(_small(grams.where(F.col("k") == k).select("item", "m", "k", "h").distinct(), size), "h").select("id", "words", "item", "m", "k", "p")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
-        return docs.select(F.col(id_col)).join(benchmark.select(F.col(item_col)).limit(0)).limit(0).select(id_col, item_col, F.lit(0).alias("first_word"), F.lit(0.0).alias("similarity"))
+        return None
 
     # Each run of as many places as the similarity needs gives the offsets whose window covers it; those that the run
     # before it covers too are left to that one. A window has n shingles, as many as the item or the whole document.
@@ -91,7 +90,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     made = "CASE " + " ".join(f"WHEN x.k = {k} THEN {_shingles('x.o', 'least(x.m, size(w))', k)}" for k in widths) + " END"
     ids = stored(windows.select("id").distinct(), f"{path}/ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = docs.select(F.col(id_col).alias("id"), F.expr(f"CAST({_quoted(text_col)} AS STRING)").alias("t")).join(ids, "id", "left_semi").join(some, "id")
+    sets = docs.select(_key(id_col, text_col).alias("id"), F.expr(f"CAST({_quoted(text_col)} AS STRING)").alias("t")).join(ids, "id", "left_semi").join(some, "id")
     sets = sets.select("id", F.explode(F.expr(let(_WORDS.format(t="t"), "w", f"transform(x, x -> struct(x.item AS item, x.o AS o, {made} AS s))"))).alias("y")).select("id", "y.item", "y.o", F.col("y.s").alias("ws"))
     prints = stored(sets.withColumn("wf", F.expr(_FINGERPRINT.format(s="ws"))), f"{path}/prints")
 
@@ -108,15 +107,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     both = close.join(prints.select("id", "item", "o", "ws").dropDuplicates(["id", "item", "o", "ws"]), ["id", "item", "o"]).join(_small(items.select("item", "s"), size), "item")
     common = F.expr("aggregate(array_distinct(s), 0, (n, h) -> n + least(size(filter(s, x -> x = h)), size(filter(ws, x -> x = h))))")
     scored = both.select("id", "item", "o", common.alias("c"), (F.size("s") + F.size("ws")).alias("n")).where(F.lit(100) * F.col("c") >= F.lit(percent) * (F.col("n") - F.col("c")))
-    scored = scored.select("id", "item", "o", (F.col("c") / (F.col("n") - F.col("c"))).alias("similarity"))
-    best = scored.groupBy("id", "item").agg(F.max("similarity").alias("similarity"))
-    return scored.join(best, ["id", "item", "similarity"]).groupBy("id", "item", "similarity").agg(F.min("o").alias("first_word")).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "first_word", "similarity")
+    return scored.select("id", "item", "o", (F.col("c") / (F.col("n") - F.col("c"))).alias("similarity"))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no benchmark item."""
-    bad = leaks(docs, benchmark, id_col=id_col, **how).select(F.col(id_col).alias("__leaked")).distinct()
-    return docs.join(bad, docs[id_col] == bad["__leaked"], "left_anti")
+def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """(id_col, item_col, first_word, similarity): each document and item with a window at least percent similar.
+
+    The best window is given, the first of equally good ones. Words are lower-cased runs of anything but ASCII white
+    space. An item of fewer than five words is one shingle; a document with fewer words than the item is one window. Null
+    and empty texts have no words and match nothing. Repeated ids count as one document, so do null ids. Only ids and texts are read, so
+    other columns cannot clash; either table may be empty.
+    """
+    scored = _scored(docs, benchmark, id_col, text_col, item_col, item_text, percent, radius)
+    if scored is None:
+        return docs.select(F.col(id_col)).join(benchmark.select(F.col(item_col)).limit(0)).limit(0).select(id_col, item_col, F.lit(0).alias("first_word"), F.lit(0.0).alias("similarity"))
+    best = scored.groupBy(F.col("id.id").alias("id"), "item").agg(F.max(F.struct("similarity", (-F.col("o")).alias("o"))).alias("best"))
+    return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), (-F.col("best.o")).alias("first_word"), "best.similarity")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no benchmark item; a row goes for its own text alone."""
+    scored = _scored(docs, benchmark, id_col, text_col, item_col, item_text, percent, radius)
+    if scored is None:
+        return docs
+    bad = stored(scored.select(F.col("id").alias("__leaked")).distinct(), f"{shared_dir(docs.sparkSession)}/leaked")
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
+    return docs.join(bad, _key(id_col, text_col) == F.col("__leaked"), "left_anti")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

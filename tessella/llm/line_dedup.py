@@ -262,7 +262,7 @@ def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int,
     need = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h").select("h", "first.id", "first.copy"), f"{path}-need")
     ids = need.select("id", "copy").distinct()
     ids = F.broadcast(ids) if need.count() <= BROADCAST_IDS else ids
-    some = slim.join(ids, ["id", "copy"]).select("text")
+    some = slim.join(ids, slim["id"].eqNullSafe(ids["id"]) & (slim["copy"] == ids["copy"])).select("text")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

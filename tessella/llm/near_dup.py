@@ -58,8 +58,8 @@ def trees_for(recall: float = RECALL, depth: int = FIRST_DEPTH) -> int:
 
 
 def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, n (size of its set), cid (hash of the set), minwise (tokens, 4 bytes each), k1 to k4 (sketch: two bits of each token)."""
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """Per row: id, copy (hash of the text), n (size of its set), cid (hash of the set), minwise (tokens, 4 bytes each), k1 to k4 (sketch: two bits of each token)."""
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("copy"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -80,10 +80,10 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                 two = (tokens & np.uint32(3)).astype(np.uint64) << (np.arange(FUNCTIONS, dtype=np.uint64) % np.uint64(32) * np.uint64(2))
                 sketch = [np.bitwise_or.reduce(two[:, k : k + 32], axis=1) for k in range(0, FUNCTIONS, 32)]
                 raw = [tokens[k].tobytes() if n[k] else None for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(cid.view(np.int64)), pa.array(raw, pa.binary()), *(pa.array(k.view(np.int64)) for k in sketch)], names=["id", "n", "cid", "minwise", *SKETCH])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "copy")), pa.array(n.astype(np.int64)), pa.array(cid.view(np.int64)), pa.array(raw, pa.binary()), *(pa.array(k.view(np.int64)) for k in sketch)], names=["id", "copy", "n", "cid", "minwise", *SKETCH])
 
-    kinds = (slim.schema["id"].dataType, T.LongType(), T.LongType(), T.BinaryType(), *[T.LongType()] * len(SKETCH))
-    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(("id", "n", "cid", "minwise", *SKETCH), kinds, strict=True)]))
+    kinds = (slim.schema["id"].dataType, T.LongType(), T.LongType(), T.LongType(), T.BinaryType(), *[T.LongType()] * len(SKETCH))
+    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(("id", "copy", "n", "cid", "minwise", *SKETCH), kinds, strict=True)]))
 
 
 _ENTRY = "node long, cid long"
@@ -208,11 +208,12 @@ def in_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 def texts_of(need: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """(cid, text) of the sets in need; their ids are broadcast where they are few enough, by count."""
-    who = stored(reps.select("cid", "id").join(need, "cid"), path)
+    """(cid, text) of the sets in need, by id (null too) and text hash; these are broadcast where they are few enough, by count."""
+    who = stored(reps.select("cid", F.col("id").alias("who"), F.col("copy").alias("whose")).join(need, "cid"), path)
     if who.count() <= BROADCAST_IDS:
         who = F.broadcast(who)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(who, "id").select("cid", "text")
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return slim.join(who, F.col("id").eqNullSafe(F.col("who")) & (F.xxhash64("text") == F.col("whose"))).select("cid", "text")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, id_col: str, text_col: str, path: str) -> DataFrame:
@@ -255,7 +256,8 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     trees = trees_for(recall)
     rows = stored(sets(docs, width, id_col, text_col), f"{path}/sets")
     classes = stored(rows.where("n > 0").groupBy("cid").agg(F.min("id").alias("id")), f"{path}/classes")
-    reps = stored(rows.where("n > 0").join(classes, ["cid", "id"]).select("cid", "id", "n", "minwise", *SKETCH).dropDuplicates(["cid"]), f"{path}/reps")
+    first = classes.select(F.col("cid").alias("class"), F.col("id").alias("first"))
+    reps = stored(rows.where("n > 0").join(first, (F.col("cid") == F.col("class")) & F.col("id").eqNullSafe(F.col("first"))).select("cid", "id", "copy", "n", "minwise", *SKETCH).dropDuplicates(["cid"]), f"{path}/reps")
     looks = {x: reps.select(F.col("cid").alias(x), *(F.col(k).alias(x + k) for k in ("n", *SKETCH))) for x in "ab"}
     roots, links = None, None
 

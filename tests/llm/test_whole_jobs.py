@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from tessella.llm import decontaminate, license, line_dedup, registry
+from tessella.llm import decontaminate, license, line_dedup, near_dup, registry
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.'
 BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products."
@@ -73,3 +73,22 @@ def test_short_lines(spark, tmp_path):
     texts = lambda n: {r.doc_id: r.text for r in line_dedup.without_repeated_lines(df, min_chars=n).collect()}
     assert texts(24) == dict(rows)
     assert texts(4) == {1: rows[0][1], 2: "Ja.\nNe.", 3: "Ja.\nac\n "}
+
+
+def test_null_ids(spark):
+    words = [f"w{k}" for k in range(40)]
+    line = " ".join(words)
+    a, b, c = (" ".join([*words, *more]) for more in (["x"], ["y"], []))
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    # Documents 1 and 2 are only linked by way of the null row's text.
+    base = [f"v{k}" for k in range(100)]
+    near = [(1, " ".join(base)), (None, " ".join(base[9:] + [f"e{k}" for k in range(9)])), (2, " ".join(base[18:] + [f"e{k}" for k in range(18)])), (None, "quite another text of some words")]
+    got = {r.doc_id: r.component_id for r in near_dup.similar_sets(table(near), percent=80).where("doc_id IS NOT NULL").collect()}
+    assert got == {1: 1, 2: 1}
+    # The first holder of a line is a row with a null id.
+    got = {(r.doc_id, r.kept): r.n_links for r in line_dedup.line_classes(table([(None, a), (1, a), (2, b)])).collect()}
+    assert got == {(None, True): 1, (1, False): 1, (2, False): 1}
+    items = spark.createDataFrame([(7, c)], "item_id long, text string")
+    docs = table([(None, f"lead in {line} lead out"), (None, "a clean text"), (3, "a clean text"), (3, line)])
+    assert {(r.doc_id, r.item_id, r.first_word) for r in decontaminate.leaks(docs, items).collect()} == {(None, 7, 2), (3, 7, 0)}
+    assert sorted(map(repr, map(tuple, decontaminate.without_leaks(docs, items).collect()))) == ["(3, 'a clean text')", "(None, 'a clean text')"]
