@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; a longer single text is a pass of its own.
@@ -25,15 +26,20 @@ _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
+_PRIME = (1 << 31) - 1
+_residues: list[np.ndarray] = []
 
 
 # ---------------------------------------------------------------- storage
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below spark.checkpoint.dir, which all executors see; a temporary one only where that is unset."""
+    """A fresh folder below spark.checkpoint.dir, which all executors see; a temporary one only where that is unset and all
+    runs on one machine."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", top)
         spark.sparkContext.setCheckpointDir(top)
@@ -42,10 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """df written as Parquet and read again: lineage ends in files that every executor sees."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart: the id, which may be null or repeated, and a hash of the text. A join on it keeps null ids."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("copy"))
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by bytes, so that long texts do not add up, unless the session sets a bound."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -101,6 +112,19 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def residues(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Another hash base and its inverse modulo a prime below 2^31, to the powers 0 to n."""
+    if not _residues or len(_residues[0]) <= n:
+        size = max(n + 1, SLICE_BYTES + 1)
+        _residues.clear()
+        for base in (1_234_567_891, pow(1_234_567_891, -1, _PRIME)):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, p * np.uint64(pow(base, len(p), _PRIME)) % np.uint64(_PRIME)])
+            _residues.append(p[:size])
+    return _residues[0], _residues[1]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits."""
     x = x ^ (x >> np.uint64(30))
@@ -132,7 +156,10 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs of anything but ASCII white space, A-Z lower-cased) and each row's number of them."""
+    """Hashes of all words (runs of anything but ASCII white space, A-Z lower-cased) and each row's number of them.
+
+    A polynomial modulo 2^64 alone has known texts that collide at any base; one modulo a prime is mixed in.
+    """
     buf = data[offsets[0] : offsets[-1]]
     at = offsets - offsets[0]
     if not len(buf):
@@ -145,10 +172,17 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     last[:-1] &= white[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     p, q = powers(len(buf))
+    letters = (_LOWER[buf] if lower else buf).astype(np.uint64) + np.uint64(1)
     sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(((_LOWER[buf] if lower else buf).astype(np.uint64) + np.uint64(1)) * p[: len(buf)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * q[starts])
-    return hashes, np.diff(np.searchsorted(starts, at))
+    np.cumsum(letters * p[: len(buf)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * q[starts]
+    p, q = residues(len(buf))
+    letters *= p[: len(buf)]
+    if len(buf) >= 1 << 24:  # else sums stay below 2^64
+        letters %= np.uint64(_PRIME)
+    np.cumsum(letters, out=sums[1:])
+    prime = np.uint64(_PRIME)
+    return mix(hashes ^ mix((sums[ends] - sums[starts]) % prime * q[starts] % prime + np.uint64(1))), np.diff(np.searchsorted(starts, at))
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,16 +214,43 @@ def distinct_sets(values: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, n
 # ---------------------------------------------------------------- connected components
 
 
+#: Links whose components one task finds, by count: it holds two numbers for each.
+ONE_TASK_LINKS = 1 << 18
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) of all ids in the links (a, b) of one task."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parent.setdefault(a, a), parent.setdefault(b, b)
+            x, y = find(a), find(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    ids = list(parent)
+    for k in range(0, len(ids), 10_000):
+        some = ids[k : k + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([find(x) for x in some], pa.int64())], names=["id", "root"])
+
+
 def components(edges: DataFrame, path: str, rounds: int = 60) -> DataFrame:
-    """(id, root) for every id in edges (a, b): root is the smallest id that links reach.
+    """(id, root) for every id in edges (a, b), two longs: root is the smallest id that links reach.
 
-    Alternates large-star and small-star steps; each round is written to the shared folder and the number of
-    rounds grows with the logarithm of the longest path. Only a count of changed rows comes to the driver.
-    Rows with a null end or a = b link nothing. A hub's links are never gathered in one task: a step is a
-    minimum for each id (summed before the shuffle) and a join that adaptive execution can split.
+    Up to ONE_TASK_LINKS different links one task unites; beyond it large-star and small-star steps alternate, each round
+    is written to the shared folder and the number of rounds grows with the logarithm of the longest path. Only counts
+    come to the driver. Rows with a null end or a = b link nothing. A hub's links are never gathered in one task: a step
+    is a minimum for each id (summed before the shuffle) and a join that adaptive execution can split.
     """
-    spark = edges.sparkSession
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{path}/cc0")
+    if now.count() <= ONE_TASK_LINKS:
+        return stored(now.coalesce(1).mapInArrow(_united, "id long, root long"), f"{path}/cc")
     before = None
     for k in range(1, rounds + 1):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -1,20 +1,28 @@
 """Line deduplication by a segment-partition edit join.
 
-Equal lines are one class from the start. Two lines within T edits share one of T + 1 segments of the shorter, up to
-where it lies: a line of each length is cut into T + 1 segments, and a line probes the index of lines up to T shorter
-with the substrings that can line up with a segment. Keys are hashes of length, segment and substring. Pairs that share a
-key are verified by a banded bit-parallel edit distance. Keys travel packed and meet in numpy, shard by shard; the pairs
-of a key that very many lines have are dealt out over all tasks by a join of salted blocks instead.
+Equal lines are one class from the start, by a 128-bit digest; what follows sees each distinct line once. Two lines within
+T edits share one of T + 1 segments of the shorter, up to where it lies: a line of each length is cut into T + 1 segments,
+and a line probes the index of lines up to T shorter with the substrings that can line up with a segment. Keys are hashes
+of length, segment and substring; they travel packed and meet in numpy, shard by shard. Pairs that share a key are verified
+by a banded bit-parallel edit distance, each only under the first segment that its shorter line shares with the other.
+
+A key that many lines have never becomes a list of pairs: its lines are dealt into blocks, every two blocks meet in one task
+of bounded size, and what comes out is a count of links for each line and the links that join components, so the rows are in
+proportion to the lines. Where links need not be counted, lines are first linked with one line of their key, keys whose
+lines are all in one component are finished, and pairs within a component are passed over.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bound_batches, components, mix, powers, release, shared_dir, slices, stored, string_buffers
 
@@ -23,43 +31,78 @@ EDITS = 2
 MIN_CHARS = 24
 #: Lines of fewer code points for each edit are linked only if equal; the edits are a fifth of a line at most.
 CHARS_PER_EDIT = 5
-#: Pairs of one key that a shard writes out itself; a key with more is dealt out in SALT blocks.
-OWN_PAIRS = 20_000
-SALT = 32
+#: Pairs of one key that a shard writes out itself; the lines of a key with more are compared in blocks.
+OWN_PAIRS = 4096
+#: Lines of one key in one slice beyond which they skip the key's shard and are dealt over all shards.
+LOCAL_MANY = 256
+#: A block's lines and bytes, about.
+BLOCK_LINES = 256
+BLOCK_BYTES = 1 << 20
+#: Pairs of a block that are verified at once.
+PAIRS_AT_ONCE = 4096
+#: Rounds that link the lines of a key with one of them, where links need not be counted.
+STAR_ROUNDS = 2
 #: Ids that are broadcast at most, by count; beyond it a join shuffles.
 BROADCAST_IDS = 1 << 20
 SHARDS_PER_PARTITION = 6
+#: Bytes of lines whose keys are made and packed at once.
+KEY_BYTES = 2 << 20
 _ONE = np.uint64(1)
+_MARK = np.uint64(0xFFFFFFFFFFFFFFFF)
+_ENTRY = np.dtype([("line", "<u8"), ("key", "<u4"), ("sign", "<u4"), ("role", "u1")])
 
 
 # ---------------------------------------------------------------- lines and keys
 
 
+def split_lines(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Row, number in the row, first byte, end and code points of the lines that have `least` code points, and the bytes."""
+    buf = data[offsets[0] : offsets[-1]]
+    at = offsets - offsets[0]
+    breaks = np.flatnonzero(buf == 10)
+    owner, rows = np.searchsorted(at, breaks, "right") - 1, np.arange(len(at) - 1)
+    starts, ends = np.concatenate([at[:-1], breaks + 1]), np.concatenate([at[1:], breaks])
+    row = np.concatenate([rows, owner])
+    order = np.lexsort((starts, row))
+    starts, ends, row = starts[order], ends[np.lexsort((ends, row))], row[order]
+    number = np.arange(len(row)) - np.searchsorted(row, row)
+    points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    chars = points[ends] - points[starts]
+    keep = chars >= least
+    return row[keep], number[keep], starts[keep], ends[keep], chars[keep], buf
+
+
+def digests(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    view, blake = memoryview(buf.tobytes()), hashlib.blake2b
+    return [blake(view[s:e], digest_size=16).digest() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def segment(length, i: int, count: int) -> tuple:
+    """Where segment i (from 0) of `count` begins in a line of the length, and how long it is."""
+    first = length * i // count
+    return first, length * (i + 1) // count - first
+
+
+def reach(length, size, i: int, count: int) -> tuple:
+    """The first and the last place in a line of `size` code points, at most count - 1 more than `length`, where segment i of
+    a line of the length can stand within count - 1 edits, if no earlier segment does."""
+    first, width = segment(length, i, count)
+    less, after = size - length, count - 1 - i
+    return np.maximum(np.maximum(0, first - i), first + less - after), np.minimum(np.minimum(size - width, first + i), first + less + after)
+
+
 class Lines:
-    """The lines of a slice of rows that have `least` code points: row, number in the row, bounds in code points, hash."""
+    """Code points, prefix hashes and bounds of a slice of rows that are one line each."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
         buf = data[offsets[0] : offsets[-1]]
-        at = offsets - offsets[0]
-        lead = (buf & 0xC0) != 0x80
-        place = np.concatenate([[0], np.cumsum(lead)])  # code points before each byte
+        place = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
+        bounds = place[offsets - offsets[0]]
+        self.starts, self.ends = bounds[:-1], bounds[1:]
         self.points = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
-        rows = place[at]
-        breaks = np.flatnonzero(self.points == 10)
-        owner = np.searchsorted(rows, breaks, "right") - 1
-        starts = np.concatenate([rows[:-1], breaks + 1])
-        row = np.concatenate([np.arange(len(rows) - 1), owner])
-        order = np.lexsort((starts, row))
-        self.starts, self.row = starts[order], row[order]
-        ends = np.concatenate([breaks, rows[1:]])
-        self.ends = ends[np.lexsort((ends, np.concatenate([owner, np.arange(len(rows) - 1)])))]
-        self.number = np.arange(len(self.row)) - np.searchsorted(self.row, self.row)
         p, self.inverse = powers(len(self.points))
         self.sums = np.zeros(len(self.points) + 1, np.uint64)
         np.cumsum((self.points.astype(np.uint64) + _ONE) * p[: len(self.points)], out=self.sums[1:])
-        keep = self.ends - self.starts >= least
-        self.starts, self.ends, self.row, self.number = (x[keep] for x in (self.starts, self.ends, self.row, self.number))
-        self.hash = mix(self.part(self.starts, self.ends) + (self.ends - self.starts).astype(np.uint64))
 
     def part(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         return (self.sums[e] - self.sums[s]) * self.inverse[s]
@@ -76,39 +119,42 @@ class Lines:
         return out
 
     def keys(self, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, the distinct line's place, whether it probes), and the places' lines: self.one."""
-        _, one = np.unique(self.hash, return_index=True)
-        self.one = one
-        start, size, line = self.starts[one], (self.ends - self.starts)[one], np.arange(len(one))
-        keys, lines, probes = [], [], []
+        """(key, the line's place, role): role 0 is the index and a probe of equal length, else 1 + how much longer the
+        probing line is. The key's lowest five bits are the segment."""
+        start, size, line = self.starts, self.ends - self.starts, np.arange(len(self.starts))
+        keys, lines, roles = [], [], []
         count = edits + 1
 
-        def add(length: np.ndarray, segment: int, s: np.ndarray, width: np.ndarray, who: np.ndarray, probing: bool) -> None:
-            keys.append(mix(self.part(s, s + width) ^ mix(length.astype(np.uint64) * np.uint64(64) + np.uint64(segment))))
+        def add(length: np.ndarray, i: int, s: np.ndarray, width: np.ndarray, who: np.ndarray, role: int) -> None:
+            made = mix(self.part(s, s + width) ^ mix(length.astype(np.uint64) * np.uint64(64) + np.uint64(i)))
+            keys.append((made & ~np.uint64(31 << 32)) | np.uint64(i << 32))
             lines.append(who)
-            probes.append(np.full(len(s), probing))
+            roles.append(np.full(len(s), role, np.uint8))
 
-        for i in range(1, count + 1):
-            first, width = cut(size, i, count)
-            add(size, i, start + first, width, line, False)
+        for i in range(count):
+            first, width = segment(size, i, count)
+            add(size, i, start + first, width, line, 0)
         for less in range(edits + 1):
             some = size - less >= count
             s, n, who, length = start[some], size[some], line[some], size[some] - less
-            for i in range(1, count + 1):
-                first, width = cut(length, i, count)
-                low = np.maximum.reduce([np.zeros_like(first), first - (i - 1), first + less - (count - i)])
-                high = np.minimum.reduce([n - width, first + (i - 1), first + less + (count - i)])
+            for i in range(count):
+                first, width = segment(length, i, count)
+                low, high = reach(length, n, i, count)
                 for step in range(2 * edits + 1):
-                    here = low + step <= high
+                    here = (low + step <= high) & ((low + step != first) | (less > 0))
                     if here.any():
-                        add(length[here], i, (s + low + step)[here], width[here], who[here], True)
-        return np.concatenate(keys), np.concatenate(lines), np.concatenate(probes)
+                        add(length[here], i, (s + low + step)[here], width[here], who[here], 1 + less)
+        return np.concatenate(keys), np.concatenate(lines), np.concatenate(roles)
 
 
-def cut(length: np.ndarray, i: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where segment i (from 1) of `count` begins in a line of the length, and how long it is."""
-    first = length * (i - 1) // count
-    return first, length * i // count - first
+def first_shared(x: str, y: str, count: int) -> int:
+    """The first segment of x that y has where it can stand; x is not the longer one; count if there is none."""
+    for i in range(count):
+        first, width = segment(len(x), i, count)
+        low, high = reach(len(x), len(y), i, count)
+        if low <= high and y.find(x[first : first + width], int(low), int(high) + width) >= 0:
+            return i
+    return count
 
 
 def edit_distances(xs: list[np.ndarray], ys: list[np.ndarray], edits: int) -> np.ndarray:
@@ -163,153 +209,283 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("copy"), "text")
 
 
-def lines_of(slim: DataFrame, least: int) -> DataFrame:
-    """(id, copy, line, h, chars) of every line of at least `least` code points."""
+def lines_of(slim: DataFrame, least: int, bodies_from: int | None = None) -> DataFrame:
+    """(id, copy, line, h, chars) of every line of at least `least` code points, where h is its digest; and body, its bytes,
+    once in a slice, for lines of at least bodies_from code points."""
+    names = ["id", "copy", "line", "h", "chars", *(["body"] if bodies_from is not None else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in batches:
             data, at = string_buffers(b.column("text"))
             for i, j in slices(at):
-                found = Lines(data, at[i : j + 1], least)
-                take = pa.array(found.row + i)
-                yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("copy").take(take), pa.array(found.number.astype(np.int32)), pa.array(found.hash.view(np.int64)), pa.array((found.ends - found.starts).astype(np.int32))], names=["id", "copy", "line", "h", "chars"])
+                row, number, starts, ends, chars, buf = split_lines(data, at[i : j + 1], least)
+                h = digests(buf, starts, ends)
+                take = pa.array(row + i)
+                columns = [b.column("id").take(take), b.column("copy").take(take), pa.array(number.astype(np.int32)), pa.array(h, pa.binary()), pa.array(chars.astype(np.int32))]
+                if bodies_from is not None:
+                    body: list[bytes | None] = [None] * len(h)
+                    for k in {x: k for k, x in enumerate(h)}.values():
+                        if chars[k] >= bodies_from:
+                            body[k] = buf[starts[k] : ends[k]].tobytes()
+                    columns.append(pa.array(body, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kinds = (slim.schema["id"].dataType, T.LongType(), T.IntegerType(), T.BinaryType(), T.IntegerType(), T.BinaryType())
+    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(names, kinds, strict=False)]))
 
-    kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"id {kind}, copy long, line int, h long, chars int")
+
+def distinct_lines(slim: DataFrame, least: int, bodies_from: int, path: str) -> DataFrame:
+    """(lid, h, first, n, body): each distinct line, numbered, with its first place and how often it occurs."""
+    every = lines_of(slim, least, bodies_from)
+    found = every.groupBy("h").agg(F.min(F.struct("id", "copy", "line")).alias("first"), F.count("*").alias("n"), F.first("body", ignorenulls=True).alias("body"))
+    return stored(found.withColumn("lid", F.monotonically_increasing_id()), path)
 
 
 def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The least sum of differences of counts() that two lines can have, as the counts are known modulo 16."""
-    out = np.zeros(len(x), np.int64)
+    out = np.zeros(np.broadcast(x, y).shape, np.int64)
     for k in range(8):
         d = ((x >> np.uint32(4 * k)) - (y >> np.uint32(4 * k))) & np.uint32(15)
         out += np.minimum(d, np.uint32(16) - d)
     return out
 
 
-def candidates(slim: DataFrame, edits: int, least: int) -> DataFrame:
-    """(a, b) with a < b: hashes of lines that share a key and whose character counts allow so few edits."""
-    parts = slim._jdf.queryExecution().toRdd().getNumPartitions()
-    shards = max(32, SHARDS_PER_PARTITION * parts)
+def _possible(line: np.ndarray, role: np.ndarray, sign: np.ndarray, x: np.ndarray, y: np.ndarray, edits: int) -> np.ndarray:
+    """Whether x indexes and y probes, so that a pair is looked at from one side only, and whether their counts allow so few edits."""
+    return (role[x] == 0) & ((role[y] > 1) | (line[x] < line[y])) & (_counts_apart(sign[x], sign[y]) <= 2 * edits)
+
+
+def candidates(lines: DataFrame, edits: int) -> DataFrame:
+    """Of lines (lid, body): pairs (seg, a, b) under keys with few pairs, a indexing and b probing, with k null; and the
+    entries (k, seg, a, sign, role) of keys with more."""
+    shards = max(32, SHARDS_PER_PARTITION * lines._jdf.queryExecution().toRdd().getNumPartitions())
+    names = ["k", "seg", "a", "b", "sign", "role"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        dealt = 0
         for b in batches:
-            data, at = string_buffers(b.column("text"))
-            for i, j in slices(at):
-                found = Lines(data, at[i : j + 1], least)
-                keys, lines, probes = found.keys(edits)
+            data, at = string_buffers(b.column("body").cast(pa.string()))
+            lids = b.column("lid").to_numpy().astype(np.uint64)
+            for i, j in slices(at, KEY_BYTES):
+                found = Lines(data, at[i : j + 1])
+                keys, place, role = found.keys(edits)
+                made = np.zeros(len(keys), _ENTRY)
+                made["line"], made["key"], made["sign"], made["role"] = lids[i:j][place], keys >> np.uint64(32), found.counts()[place], role
                 shard = (keys % np.uint64(shards)).astype(np.int64)
-                order = np.lexsort((probes, shard))
-                keys, lines, probes, shard = (keys[order] >> np.uint64(32)).astype(np.uint32), lines[order], probes[order], shard[order]
-                line, sign = found.hash[found.one][lines], found.counts()[found.one][lines]
-                cuts = np.searchsorted(shard, np.arange(shards + 1))
-                first = np.searchsorted(shard * 2 + probes, np.arange(shards) * 2 + 1)
-                pieces = [line[s:e].tobytes() + keys[s:e].tobytes() + sign[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(shards, dtype=np.int32)), pa.array((first - cuts[:-1]).astype(np.int32)), pa.array(pieces, pa.binary())], names=["shard", "plain", "piece"])
+                order = np.lexsort((made["key"], shard))
+                made, shard = made[order], shard[order]
+                new = np.concatenate([[True], (shard[1:] != shard[:-1]) | (made["key"][1:] != made["key"][:-1])])
+                begins = np.flatnonzero(new)
+                sizes = np.diff(np.append(begins, len(made)))
+                out: list[tuple[int, int, bytes]] = []
+                if (sizes > LOCAL_MANY).any():  # a mark goes to the key's shard, the entries to any
+                    for s, n in zip(begins[sizes > LOCAL_MANY].tolist(), sizes[sizes > LOCAL_MANY].tolist(), strict=True):
+                        dealt += 1
+                        out.append((int(mix(made["line"][s : s + 1] + np.uint64(dealt))[0] % np.uint64(shards)), int(shard[s]), made[s : s + n].tobytes()))
+                    marks = made[begins[sizes > LOCAL_MANY]]
+                    marks["line"], marks["role"] = _MARK, 255
+                    few = np.repeat(sizes <= LOCAL_MANY, sizes)
+                    made, shard = np.concatenate([made[few], marks]), np.concatenate([shard[few], shard[begins[sizes > LOCAL_MANY]]])
+                    order = np.argsort(shard, kind="stable")
+                    made, shard = made[order], shard[order]
+                some, begins = np.unique(shard, return_index=True)
+                out += [(int(k), -1, made[s:e].tobytes()) for k, s, e in zip(some, begins, np.append(begins[1:], len(made)), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["shard", "home", "piece"])
+
+    def rows(k, seg, a, b, sign, role) -> pa.RecordBatch:
+        n = len(a)
+        column = lambda x, t: pa.nulls(n, t) if x is None else pa.array(x, t)
+        return pa.RecordBatch.from_arrays([column(x, t) for x, t in zip((k, seg, a, b, sign, role), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=names)
+
+    def entries(made: np.ndarray, home: int) -> pa.RecordBatch:
+        key = made["key"].astype(np.int64)
+        return rows(key * shards + home, (key & 31).astype(np.int32), made["line"].astype(np.int64), None, made["sign"].astype(np.int64), made["role"].astype(np.int32))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
+        release()
+        held: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            for shard, plain, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.setdefault(shard, []).append((plain, piece))
-        for shard, pieces in held.items():
-            size = [len(x) // 16 for _, x in pieces]
-            lines = np.concatenate([np.frombuffer(x, np.uint64, n) for n, (_, x) in zip(size, pieces, strict=True)])
-            keys = np.concatenate([np.frombuffer(x, np.uint32, n, 8 * n) for n, (_, x) in zip(size, pieces, strict=True)])
-            sign = np.concatenate([np.frombuffer(x, np.uint32, n, 12 * n) for n, (_, x) in zip(size, pieces, strict=True)])
-            probe = np.concatenate([np.arange(n) >= plain for n, (plain, _) in zip(size, pieces, strict=True)])
-            order = np.lexsort((lines, probe, keys))
-            keys, lines, probe, sign = keys[order], lines[order], probe[order], sign[order]
-            fresh = np.ones(len(keys), bool)
-            fresh[1:] = (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1]) | (probe[1:] != probe[:-1])
-            keys, lines, probe, sign = keys[fresh], lines[fresh], probe[fresh], sign[fresh]
-            begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            ends = np.append(begins[1:], len(keys))
-            plain = ends - begins - np.add.reduceat(probe.astype(np.int64), begins) if len(begins) else begins
-            rows, common = [], []
-            # A line's own key and probe make a run of two.
-            for s, e, n in zip(*(x[(plain > 0) & (plain < ends - begins) & (ends - begins > 2)].tolist() for x in (begins, ends, plain)), strict=True):
-                if n * (e - s - n) <= OWN_PAIRS:
-                    x, y = np.repeat(np.arange(s, s + n), e - s - n), np.tile(np.arange(s + n, e), n)
-                    near = (lines[x] != lines[y]) & (_counts_apart(sign[x], sign[y]) <= 2 * edits)
-                    rows.append(np.stack([lines[x[near]], lines[y[near]]]))
+            for shard, home, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                made = np.frombuffer(piece, _ENTRY)
+                if home >= 0:
+                    yield entries(made, home)
                 else:
-                    common.append((s, e))
-            two = (np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.uint64)).view(np.int64)
-            low, high = np.minimum(two[0], two[1]), np.maximum(two[0], two[1])
-            distinct = np.unique(np.stack([low, high], axis=1), axis=0)
-            none = pa.nulls(len(distinct), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(distinct[:, 0]), pa.array(distinct[:, 1]), none, pa.nulls(len(distinct), pa.bool_())], names=["k", "a", "b", "sign", "probe"])
-            for s, e in common:
-                key = keys[s:e].astype(np.int64) * shards + shard
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lines[s:e].view(np.int64)), pa.nulls(e - s, pa.int64()), pa.array(sign[s:e].astype(np.int64)), pa.array(probe[s:e])], names=["k", "a", "b", "sign", "probe"])
-
-    met = slim.mapInArrow(make, "shard int, plain int, piece binary").repartitionById(shards, "shard").mapInArrow(meet, "k long, a long, b long, sign long, probe boolean")
-    met = stored(met, f"{shared_dir(slim.sparkSession)}/met")
-    common = met.where("k IS NOT NULL")
-    index = common.where("NOT probe").select("k", "a", F.col("sign").alias("x"), F.pmod(F.xxhash64("a"), F.lit(SALT)).alias("salt"))
-    probes = common.where("probe").select("k", F.col("a").alias("b"), F.col("sign").alias("y"), F.explode(F.expr(f"sequence(0L, {SALT - 1}L)")).alias("salt"))
-    nibble = lambda c, k: F.shiftright(F.col(c), 4 * k).bitwiseAND(F.lit(15))
-    gap = [F.pmod(nibble("x", k) - nibble("y", k), F.lit(16)) for k in range(8)]
-    apart = sum((F.least(g, F.lit(16) - g) for g in gap), F.lit(0))
-    dealt = index.join(probes, ["k", "salt"]).where((F.col("a") != F.col("b")) & (apart <= 2 * edits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return met.where("k IS NULL").select("a", "b").unionByName(dealt).distinct()
-
-
-def verified(pairs: DataFrame, slim: DataFrame, classes: DataFrame, edits: int, least: int, path: str) -> DataFrame:
-    """The pairs whose lines are within `edits` edits."""
-    need = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h").select("h", "first.id", "first.copy"), f"{path}-need")
-    ids = need.select("id", "copy").distinct()
-    ids = F.broadcast(ids) if need.count() <= BROADCAST_IDS else ids
-    some = slim.join(ids, slim["id"].eqNullSafe(ids["id"]) & (slim["copy"] == ids["copy"])).select("text")
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, at = string_buffers(b.column("text"))
-            for i, j in slices(at):
-                x = Lines(data, at[i : j + 1], least)
-                _, one = np.unique(x.hash, return_index=True)
-                body = [x.points[s:e].tobytes() for s, e in zip(x.starts[one], x.ends[one], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x.hash[one].view(np.int64)), pa.array(body, pa.binary())], names=["h", "body"])
+                    held.setdefault(shard, []).append(made)
+        for shard in sorted(held):
+            made = np.concatenate(held.pop(shard))
+            made = made[np.lexsort((made["line"], made["role"], made["key"]))]
+            fresh = np.ones(len(made), bool)
+            fresh[1:] = made[1:] != made[:-1]
+            made = made[fresh]
+            line, role, sign = made["line"], made["role"], made["sign"]
+            begins = np.flatnonzero(np.concatenate([[True], made["key"][1:] != made["key"][:-1]]))
+            ends = np.append(begins[1:], len(made))
+            plain = np.add.reduceat((role == 0).astype(np.int64), begins)
+            marked = role[ends - 1] == 255
+            few = ~marked & (plain > 0) & (ends - begins > 1) & (plain * (ends - begins) <= OWN_PAIRS)
+            pairs = [np.zeros((2, 0), np.int64)]
+            for s, e, n in zip(begins[few].tolist(), ends[few].tolist(), plain[few].tolist(), strict=True):
+                x, y = np.repeat(np.arange(s, s + n), e - s), np.tile(np.arange(s, e), n)
+                near = _possible(line, role, sign, x, y, edits)
+                pairs.append(np.stack([x[near], y[near]]))
+            x, y = np.concatenate(pairs, axis=1)
+            yield rows(None, (made["key"][x] & np.uint32(31)).astype(np.int32), line[x].astype(np.int64), line[y].astype(np.int64), None, None)
+            many = np.repeat(marked | (plain * (ends - begins) > OWN_PAIRS), ends - begins) & (role != 255)
+            if many.any():
+                yield entries(made[many], shard)
+
+    pieces = lines.select("lid", "body").mapInArrow(make, "shard int, home int, piece binary").repartitionById(shards, "shard")
+    return pieces.mapInArrow(meet, "k long, seg int, a long, b long, sign long, role int")
+
+
+def bodies(lids: DataFrame, lines: DataFrame, path: str) -> DataFrame:
+    """(lid, body) of the lines numbered in lids (one column, lid)."""
+    need = stored(lids.distinct(), f"{path}-need")
+    return stored(lines.select("lid", "body").join(F.broadcast(need) if need.count() <= BROADCAST_IDS else need, "lid"), f"{path}-bodies")
+
+
+def _close(xs: list[str], ys: list[str], segs: list[int] | None, edits: int) -> np.ndarray:
+    """Whether each pair is within the edits and, where segs is given, first shares that segment."""
+    out = np.zeros(len(xs), bool)
+    some = [k for k in range(len(xs)) if segs is None or first_shared(xs[k], ys[k], edits + 1) == segs[k]]
+    at = np.concatenate([[0], np.cumsum([4 * len(ys[k]) for k in some])]).astype(np.int64)
+    points = lambda t: np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    for i, j in slices(at):
+        part = some[i:j]
+        out[part] = edit_distances([points(xs[k]) for k in part], [points(ys[k]) for k in part], edits) <= edits
+    return out
+
 
-    found = some.mapInArrow(texts, "h long, body binary").join(need.select("h"), "h").dropDuplicates(["h"])
-    found = stored(found, f"{path}-lines")
-    both = pairs.join(found.select(F.col("h").alias("a"), F.col("body").alias("x")), "a").join(found.select(F.col("h").alias("b"), F.col("body").alias("y")), "b")
+def verified(pairs: DataFrame, lines: DataFrame, edits: int, path: str) -> DataFrame:
+    """(a, b) of the pairs (seg, a, b) that are within `edits` edits, each pair under one segment only; with seg null under any."""
+    found = bodies(pairs.select(F.explode(F.array("a", "b")).alias("lid")), lines, path)
+    both = pairs.join(found.select(F.col("lid").alias("a"), F.col("body").alias("x")), "a").join(found.select(F.col("lid").alias("b"), F.col("body").alias("y")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size = np.array([len(x) for x in b.column("x").to_pylist()], np.int64)
-            at = np.concatenate([[0], np.cumsum(size)])
-            for i, j in slices(at):
-                part = b.slice(i, j - i)
-                x, y = ([np.frombuffer(t, np.uint32) for t in part.column(c).to_pylist()] for c in ("x", "y"))
-                keep = pa.array(edit_distances(x, y, edits) <= edits)
-                yield pa.RecordBatch.from_arrays([part.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+            x, y = ([t.decode() for t in b.column(c).to_pylist()] for c in ("x", "y"))
+            segs = b.column("seg").to_pylist()
+            keep = pa.array(_close(x, y, None if segs and segs[0] is None else segs, edits))
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return both.select("seg", "a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
+def in_blocks(entries: DataFrame, lines: DataFrame, edits: int, count: bool, path: str) -> DataFrame:
+    """For the entries (k, seg, a, sign, role, root) of keys with many lines: links (a, b) that join components, and with
+    `count` rows (a, null, n) of how many links a line has in a task.
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -> DataFrame:
-    """line_classes() and the lines' code points."""
+    A key's lines are dealt into blocks of bounded lines and bytes, and every two blocks meet in one task. Without `count`
+    pairs of one component are passed over.
+    """
+    found = bodies(entries.select(F.col("a").alias("lid")), lines, path)
+    members = entries.join(found, F.col("a") == F.col("lid"))
+    sizes = members.groupBy("k").agg(F.greatest(F.count("*") / BLOCK_LINES, F.sum(F.length("body")) / BLOCK_BYTES).cast("int").alias("last"), F.min("role").alias("least"))
+    dealt = members.join(sizes.where("least = 0").select("k", "last"), "k").withColumn("at", F.pmod(F.xxhash64("a"), F.col("last") + 1).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    dealt = dealt.select("k", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "seg", "a", "sign", "role", "root", "body")
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates(["a", "role"]).sort_values(["role", "a"], ignore_index=True)
+        line, role, sign, at, root = (part[c].to_numpy() for c in ("a", "role", "sign", "at", "root"))
+        sign, text, seg = sign.astype(np.uint32), [t.decode() for t in part["body"]], int(part["seg"].iat[0])
+        across = part["i"].iat[0] != part["j"].iat[0]
+        parent = {r: r for r in root.tolist()}
+        links, degree = [], np.zeros(len(part), np.int64)
+
+        def find(r: int) -> int:
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
+        pairs: list[tuple[int, int]] = []
+
+        def verify() -> None:
+            xs, ys = [text[x] for x, _ in pairs], [text[y] for _, y in pairs]
+            for k in np.flatnonzero(_close(xs, ys, [seg] * len(pairs) if count else None, edits)).tolist():
+                x, y = pairs[k]
+                degree[x] += 1
+                degree[y] += 1
+                r, q = find(int(root[x])), find(int(root[y]))
+                if r != q:
+                    parent[max(r, q)] = min(r, q)
+                    links.append((int(line[x]), int(line[y]), 0))
+            pairs.clear()
+
+        for x in range(int((role == 0).sum())):
+            near = _possible(line, role, sign, np.full(len(part), x), np.arange(len(part)), edits)
+            if across:
+                near &= at != at[x]
+            ys = np.flatnonzero(near)
+            if not count:
+                mine = find(int(root[x]))
+                ys = np.array([y for y in ys.tolist() if find(int(root[y])) != mine], np.int64)
+            pairs += [(x, y) for y in ys.tolist()]
+            if len(pairs) >= (PAIRS_AT_ONCE if count else 1):
+                verify()
+        verify()
+        if count:
+            links += [(int(line[k]), None, int(degree[k])) for k in np.flatnonzero(degree)]
+        return pd.DataFrame({"a": pd.array([x[0] for x in links], "Int64"), "b": pd.array([x[1] for x in links], "Int64"), "n": pd.array([x[2] for x in links], "Int64")})
+
+    return dealt.groupBy("k", "i", "j").applyInPandas(compare, "a long, b long, n long")
+
+
+def linked(lines: DataFrame, edits: int, count: bool, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """(id, root) of the lines that links join, and with `count` (lid, n_links) of those that have links."""
+    met = stored(candidates(lines, edits), f"{path}/met")
+    links = stored(verified(met.where("k IS NULL").select("seg", "a", "b"), lines, edits, f"{path}/few"), f"{path}/links")
+    degree = links.select(F.explode(F.array("a", "b")).alias("lid"), F.lit(1).cast("long").alias("n")) if count else None
+    joined, roots = links, components(links, f"{path}/components")
+    many = met.where("k IS NOT NULL").select("k", "seg", "a", "sign", "role")
+    if many.isEmpty():
+        return roots, degree.groupBy("lid").agg(F.sum("n").alias("n_links")) if count else None
+
+    def rooted() -> DataFrame:
+        return many.join(roots, F.col("a") == F.col("id"), "left").select("k", "seg", "a", "sign", "role", F.coalesce("root", "a").alias("root"))
+
+    for k in range(0 if count else STAR_ROUNDS):  # each line with one line of its key
+        now, least = stored(rooted(), f"{path}/star{k}"), F.min if k % 2 == 0 else F.max
+        reps = now.groupBy("k").agg(least(F.when(F.col("role") == 0, F.struct("a", "root"))).alias("rep"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high AND rep IS NOT NULL")
+        star = now.join(reps.select("k", "rep"), "k").where("root <> rep.root").select(F.lit(None).cast("int").alias("seg"), F.col("rep.a").alias("a"), F.col("a").alias("b")).distinct()
+        joined = joined.unionByName(stored(verified(stored(star, f"{path}/star{k}-pairs"), lines, edits, f"{path}/star{k}"), f"{path}/star{k}-links"))
+        roots = components(joined, f"{path}/star{k}-components")
+    now = rooted()
+    if not count:
+        mixed = now.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("k")
+        now = now.join(mixed, "k")
+    dense = stored(in_blocks(stored(now, f"{path}/dense"), lines, edits, count, f"{path}/dense"), f"{path}/dense-links")
+    joined = joined.unionByName(dense.where("b IS NOT NULL").select("a", "b"))
+    roots = components(joined, f"{path}/dense-components")
+    if count:
+        degree = degree.unionByName(dense.where("b IS NULL").select(F.col("a").alias("lid"), "n")).groupBy("lid").agg(F.sum("n").alias("n_links"))
+    return roots, degree
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int, count: bool) -> DataFrame:
+    """line_classes() and the lines' code points; n_links is null without `count`."""
     spark = docs.sparkSession
     bound_batches(spark)
     path = shared_dir(spark)
     linked_from = max(least, CHARS_PER_EDIT * edits, 1)
     slim = _slim(docs, id_col, text_col)
-    lines = stored(lines_of(slim, least), f"{path}/lines")
-    classes = stored(lines.groupBy("h").agg(F.min(F.struct("id", "copy", "line")).alias("first")), f"{path}/classes")
-    pairs = stored(candidates(slim, edits, linked_from), f"{path}/pairs")
-    links = stored(verified(pairs, slim, classes, edits, linked_from, f"{path}/verify"), f"{path}/links")
-    roots = components(links, f"{path}/components")
-    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("h")).agg(F.count("*").alias("n_links"))
-    linked = classes.join(roots.select(F.col("id").alias("h"), "root"), "h")
-    least = linked.groupBy("root").agg(F.min("first").alias("best"))
-    linked = linked.select("h", "root").join(least, "root").select("h", "best").join(degree, "h", "left")
-    known = stored(classes.join(linked, "h", "left").select("h", F.coalesce("best", "first").alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links")), f"{path}/known")
-    out = lines.join(known, "h")
+    lines = distinct_lines(slim, least, linked_from, f"{path}/distinct")
+    roots, degree = linked(lines.where("body IS NOT NULL").select("lid", "body"), edits, count, path)
+    some = lines.select("lid", "h", "first").join(roots.withColumnRenamed("id", "lid"), "lid")
+    some = some.join(degree, "lid", "left") if count else some.withColumn("n_links", F.lit(None).cast("long"))
+    some = stored(some, f"{path}/linked")
+    best = some.groupBy("root").agg(F.min("first").alias("best"))
+    some = some.join(best, "root").select("h", "best", F.coalesce("n_links", F.lit(0) if count else F.lit(None)).cast("long").alias("n_links"))
+    # Lines that occur once and have no link are their own class.
+    known = lines.where("n > 1").select("h", "first").join(some, "h", "full").select("h", F.coalesce("best", "first").alias("first"), "n_links")
+    known = stored(known, f"{path}/known")
+    out = lines_of(slim, least).join(known, "h", "left")
+    out = out.withColumn("first", F.coalesce("first", F.struct("id", "copy", "line")))
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("copy") == F.col("first.copy")) & (F.col("line") == F.col("first.line"))
-    return out.select(F.col("id").alias(id_col), "copy", "line", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), "n_links", kept.alias("kept"), "chars")
+    return out.select(F.col("id").alias(id_col), "copy", "line", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), F.coalesce("n_links", F.lit(0)).alias("n_links"), kept.alias("kept"), "chars")
 
 
 def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
@@ -322,20 +498,31 @@ def line_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     the text: rows with one id and different texts are told apart, equal rows count as one. A null id sorts first. Null and
     empty texts and an empty table have no lines; only the id and the text are read, so other columns cannot clash.
     """
-    return _classes(docs, id_col, text_col, edits, least).drop("chars")
+    return _classes(docs, id_col, text_col, edits, least, True).drop("chars")
 
 
 def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with all its columns, each text without the lines of at least min_chars code points that its class keeps
     elsewhere; shorter lines are in classes too.
 
-    Rows whose text loses every line that has a word go; rows that had none stay as they are. A column n_chars becomes
-    the new text's length in code points.
+    Rows whose text loses every line that has a word go; rows that had none stay as they are. Equal rows of one id count
+    as one and lose the same lines. A column n_chars becomes the new text's length in code points. Null ids, null and empty
+    texts and an empty table are as in line_classes(); other columns pass through whatever their names.
     """
-    drop = _classes(docs, id_col, text_col, edits, 1).where(~F.col("kept") & (F.col("chars") >= min_chars)).groupBy(F.col(id_col).alias("__id"), F.col("copy").alias("__copy")).agg(F.collect_set("line").alias("__lines"))
+    drop = _classes(docs, id_col, text_col, edits, 1, False).where(~F.col("kept") & (F.col("chars") >= min_chars)).groupBy(F.col(id_col).alias("__id"), F.col("copy").alias("__copy")).agg(F.collect_set("line").alias("__lines"))
     joined = docs.join(drop, docs[id_col].eqNullSafe(drop["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == drop["__copy"]), "left")
-    quoted = "`" + text_col.replace("`", "``") + "`"
-    text = F.expr(f"CASE WHEN __lines IS NULL THEN {quoted} ELSE array_join(filter(split({quoted}, '\\n'), (x, i) -> NOT array_contains(__lines, i)), '\n') END")
+
+    @F.pandas_udf("string")
+    def left_of(text: pd.Series, lines: pd.Series) -> pd.Series:
+        def one(t: str | None, gone) -> str | None:
+            if t is None or gone is None:
+                return t
+            gone = set(gone)
+            return "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+
+        return pd.Series([one(t, g) for t, g in zip(text, lines, strict=True)], dtype=object)
+
+    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(left_of(F.col(text_col).cast("string"), F.col("__lines")))
     new = joined.withColumn(text_col, text).where(F.col("__lines").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.col("__lines").isNull(), F.col("n_chars")).otherwise(F.length(text_col)).cast(docs.schema["n_chars"].dataType))
