@@ -91,11 +91,12 @@ def _series() -> tuple[float, list[float], list[float], list[float]]:
     return radius, alpha, beta, delta
 
 
-def to_grid(lat, lng) -> tuple[Column, Column]:
+def to_grid(lat, lng, meridian=MERIDIAN) -> tuple[Column, Column]:
     """(easting, northing) of a transverse Mercator zone by a third-order series."""
+    meridian = meridian if isinstance(meridian, Column) else F.lit(meridian)
     radius, alpha, _, _ = _series()
     e = 2 * math.sqrt(FLATTENING * (2 - FLATTENING) / 4)
-    phi, lam = F.radians(col(lat)), F.radians(col(lng) - F.lit(MERIDIAN))
+    phi, lam = F.radians(col(lat)), F.radians(col(lng) - meridian)
     t = F.sinh(F.atanh(F.sin(phi)) - F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)))
     xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
     east, north = eta, xi
@@ -105,8 +106,9 @@ def to_grid(lat, lng) -> tuple[Column, Column]:
     return F.lit(FALSE_EAST) + F.lit(SCALE * radius) * east, F.lit(FALSE_NORTH) + F.lit(SCALE * radius) * north
 
 
-def to_geographic(east, north, shift: tuple[float, float] = (0.0, 0.0)) -> tuple[Column, Column]:
+def to_geographic(east, north, shift: tuple[float, float] = (0.0, 0.0), meridian=MERIDIAN) -> tuple[Column, Column]:
     """(lat, lng); shift is a datum shift in degrees."""
+    meridian = meridian if isinstance(meridian, Column) else F.lit(meridian)
     radius, _, beta, delta = _series()
     xi, eta = (col(north) - F.lit(FALSE_NORTH)) / F.lit(SCALE * radius), (col(east) - F.lit(FALSE_EAST)) / F.lit(SCALE * radius)
     u, v = xi, eta
@@ -117,7 +119,32 @@ def to_geographic(east, north, shift: tuple[float, float] = (0.0, 0.0)) -> tuple
     phi = chi
     for j, d in enumerate(delta, 1):
         phi = phi + F.lit(d) * F.sin(2 * j * chi)
-    return F.degrees(phi) + F.lit(shift[0]), F.lit(MERIDIAN) + F.degrees(F.atan2(F.sinh(v), F.cos(u))) + F.lit(shift[1])
+    return F.degrees(phi) + F.lit(shift[0]), meridian + F.degrees(F.atan2(F.sinh(v), F.cos(u))) + F.lit(shift[1])
+
+
+#: Codes of the zones' grids by datum, and each datum's shift to the geographic one in degrees (none is applied).
+CRS_SERIES = {28300: (0.0, 0.0), 7800: (0.0, 0.0)}
+CRS_ZONES = range(49, 57)
+
+
+def _by_crs(epsg, then) -> tuple[Column, Column]:
+    """then(meridian, shift) for the zone that epsg names; another code is an error."""
+    code = col(epsg).cast("int")
+    out = [F.raise_error(F.concat(F.lit("unknown grid "), F.coalesce(code.cast("string"), F.lit("null")))).cast("double")] * 2
+    for series, shift in CRS_SERIES.items():
+        pair = then((code - series) * 6.0 - 183.0, shift)
+        out = [F.when(code.between(series + CRS_ZONES[0], series + CRS_ZONES[-1]), p).otherwise(o) for p, o in zip(pair, out, strict=True)]
+    return out[0], out[1]
+
+
+def geographic_of(epsg, east, north) -> tuple[Column, Column]:
+    """(lat, lng) of a grid place in the zone that the code names."""
+    return _by_crs(epsg, lambda meridian, shift: to_geographic(east, north, shift, meridian))
+
+
+def grid_of(epsg, lat, lng) -> tuple[Column, Column]:
+    """(easting, northing) in the zone that the code names."""
+    return _by_crs(epsg, lambda meridian, shift: to_grid(col(lat) - F.lit(shift[0]), col(lng) - F.lit(shift[1]), meridian))
 
 
 def in_ring(x, y, ring: Sequence[tuple[float, float]]) -> Column:

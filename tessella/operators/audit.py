@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -50,11 +52,15 @@ def running_total(results: DataFrame, tiles: int = 192, km2: float = 13.61, leas
     return got.select("new_tiles", (F.col("cells") * F.lit(CELL_KM2)).alias("new_km2"), (F.col("new_tiles") + tiles).alias("total_tiles"), (F.col("cells") * F.lit(CELL_KM2) + F.lit(km2)).alias("total_km2"))
 
 
-def merge_results(old: DataFrame, new: DataFrame, key: str = "name") -> DataFrame:
-    """old and new together; raises if they share a key or if old was merged before (has a method)."""
+def merge_results(old: DataFrame, new: DataFrame, key: str = "name", group: str = "group") -> DataFrame:
+    """old and new together; raises if old was merged before (has a method), or if a new row of group A repeats an old key.
+
+    Rows of other groups may repeat one: they were audited by another rule. Without a group column all rows are of group A.
+    """
     if "method" in old.columns and not old.where("method IS NOT NULL").isEmpty():
         raise ValueError("results were merged before")
-    if not new.join(old, key, "left_semi").isEmpty():
+    guarded = new.where(F.col(group) == "A") if group in new.columns else new
+    if not guarded.join(old, key, "left_semi").isEmpty():
         raise ValueError("new results repeat old ones")
     return old.unionByName(new, allowMissingColumns=True)
 
@@ -81,3 +87,16 @@ def require_match(checked: DataFrame) -> DataFrame:
     if not checked.where("NOT matches").isEmpty():
         raise ValueError("cell counts differ from what was expected")
     return checked
+
+
+def group_picture(new: DataFrame, old: DataFrame, surveys: Sequence[str], group: str = "group") -> DataFrame:
+    """New rows of group A with the earlier spot tiles of the same surveys: those without a method."""
+    spot = old.where(F.col("survey").isin(*surveys))
+    if "method" in old.columns:
+        spot = spot.where("method IS NULL OR method = ''")
+    return new.where(F.col(group) == "A").unionByName(spot, allowMissingColumns=True)
+
+
+def displayed(summary: DataFrame) -> DataFrame:
+    """survey_summary() in the order of a report: surveys by name, the total last."""
+    return summary.orderBy("is_total", "survey")

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .spatial import small
+
+# Fixed values of the domain.
 IMPORT_CAP = 25_000
+LISTED_FOLDER = "QLD Government/Point Clouds/AHD/"
+TILE_NAME = r"^(.+?)_(?:SW|sw)_(\d+)_(\d+)_1[Kk]"
+#: Servers that an empty answer can come from.
+MIRRORS = 2
 ZONE_BOX = (152.9, 153.7, -28.05, -26.7)
 
 
@@ -85,12 +92,17 @@ def expectations(zones: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.join(last, "zid", "left").select("zid", "zt", "found", F.col("found").eqNullSafe(F.col("zt")).alias("ok"))
 
 
-def manifest(lines: DataFrame, surveys: DataFrame, line: str = "line") -> DataFrame:
-    """Tile rows out of listing lines: (path, name, survey, e, n) with the survey's attributes; unknown surveys go."""
-    pattern = r"(\S*/)?(([A-Za-z]+?)(\d{4})?[-_](?:SW|sw)_(\d+)_(\d+)_1[Kk]\S*)"
-    g = lambda k: F.regexp_extract(line, pattern, k)
-    parsed = lines.where(F.col(line).rlike(pattern)).select(g(0).alias("path"), g(2).alias("name"), F.lower(g(3)).alias("survey"), g(5).cast("int").alias("e"), g(6).cast("int").alias("n"))
-    return parsed.join(F.broadcast(surveys), "survey")
+def manifest(lines: DataFrame, surveys: DataFrame, line: str = "line", folder: str = LISTED_FOLDER) -> DataFrame:
+    """Tile rows out of archive listings: (path, name, survey, e, n) with the survey's attributes; unknown surveys go.
+
+    A line has a size, a date, a time and a path in folder, whose last part has no white space. The survey is all of the
+    name before the first sheet mark that is followed by the tile's place, capitals and digits included.
+    """
+    entry = r"\d+\s+[\d-]+\s+[\d:]+\s+(" + folder.replace(".", r"\.") + r"(\S+))"
+    parts = lines.select(F.regexp_extract(line, entry, 1).alias("path"), F.regexp_extract(line, entry, 2).alias("name"))
+    g = lambda k: F.regexp_extract("name", TILE_NAME, k)
+    parsed = parts.where(F.col("name").rlike(TILE_NAME)).select("path", "name", g(1).alias("survey"), g(2).cast("int").alias("e"), g(3).cast("int").alias("n"))
+    return parsed.join(small(surveys), "survey")
 
 
 def confusion(samples: DataFrame) -> DataFrame:
@@ -110,13 +122,14 @@ def dedupe_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("r")).select("r.*")
 
 
-def arbitrate_empty(answers: DataFrame, hint: float = 0.95) -> DataFrame:
+def arbitrate_empty(answers: DataFrame, hint: float = 0.95, mirrors: int = MIRRORS) -> DataFrame:
     """Per tile: whether an empty answer stands. answers: tile, mirror, n_elements (null: failed), ocean share.
 
-    Elements settle it; two empty answers agree, a likely ocean needs one, and one stands if all others failed.
+    Elements settle it; two empty answers agree, a likely ocean needs one, and one stands once all mirrors have answered
+    or failed. With mirrors left a tile is to be asked again; if all failed, so did the tile.
     """
     a = answers.groupBy("tile").agg(F.count_if(F.col("n_elements") > 0).alias("n_some"), F.count_if(F.col("n_elements") == 0).alias("n_empty"), F.count_if(F.col("n_elements").isNull()).alias("n_failed"), F.max("ocean").alias("ocean"))
-    verdict = F.when(F.col("n_some") > 0, "elements").when((F.col("n_empty") >= 2) | ((F.col("n_empty") >= 1) & (F.coalesce("ocean", F.lit(0.0)) >= hint)) | ((F.col("n_empty") == 1) & (F.col("n_failed") > 0)), "empty").when(F.col("n_empty") == 1, "ask_again").otherwise("failed")
+    verdict = F.when(F.col("n_some") > 0, "elements").when((F.col("n_empty") >= 2) | ((F.col("n_empty") >= 1) & (F.coalesce("ocean", F.lit(0.0)) >= hint)) | ((F.col("n_empty") == 1) & (F.col("n_empty") + F.col("n_failed") >= mirrors)), "empty").when(F.col("n_empty") + F.col("n_failed") < mirrors, "ask_again").otherwise("failed")
     return a.select("tile", "n_some", "n_empty", "n_failed", verdict.alias("verdict"))
 
 
@@ -138,3 +151,52 @@ def assemble_members(relations: DataFrame, ways: DataFrame) -> DataFrame:
 def merge_by_id(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """new rows replace old ones with their key; the rest stays."""
     return new.unionByName(old.join(new, key, "left_anti"))
+
+
+def semi_join_results(results: DataFrame, scan: DataFrame, key: str = "name", order: str = "scan_seq") -> DataFrame:
+    """Results whose tile was scanned, with the scan's columns; of a tile scanned twice the last scan counts."""
+    last = scan.groupBy(key).agg(F.max_by(F.struct(*(c for c in scan.columns if c != key)), order).alias("__s"))
+    return results.join(last, key).select(*results.columns, "__s.*")
+
+
+def require_offsets(points: DataFrame, offset: str = "offset", least: float = 1.0) -> DataFrame:
+    """points, or an error if an offset lies below what the block's latitudes allow; an empty table passes."""
+    low = points.agg(F.min(offset)).first()[0]
+    if low is not None and low < least:
+        raise GateError(f"an offset of {low} is below {least}")
+    return points
+
+
+def kept_as_expected(points: DataFrame, kept: DataFrame, cell: Sequence[str], value: str) -> DataFrame:
+    """Per cell, kept against what the thinning rule says of all its points: the deepest if any is under water, else the
+    most drying. A cell that one side lacks counts as different."""
+    v = F.col(value)
+    want = points.groupBy(*cell).agg(F.when(F.max(v) >= 0, F.max(v)).otherwise(F.min(v)).alias("expected"), F.count("*").alias("n"))
+    both = want.join(kept.select(*cell, v.alias("kept")), list(cell), "full_outer")
+    return both.select(*cell, "n", "kept", "expected", F.col("kept").eqNullSafe(F.col("expected")).alias("ok"))
+
+
+def require_kept(checked: DataFrame) -> DataFrame:
+    """checked, or an error if any cell's kept value is not the expected one."""
+    if not checked.where("NOT ok").isEmpty():
+        raise GateError("kept values differ from what the rule gives")
+    return checked
+
+
+def collection_violations(files: DataFrame, body: str = "value", properties: Sequence[str] = ("name", "zt", "zid", "notake", "plan", "src")) -> DataFrame:
+    """(fseq, rule, detail) for what is wrong with the form of GeoJSON texts, one a row; fseq is null for the collection.
+
+    Rules: 0_parse, 0_collection (the top type), 0_features (none), 0_feature (a feature's type), 0_property (one is
+    missing; null counts as there), 0_geometry (a type other than Polygon and MultiPolygon).
+    """
+    kind = "struct<type: string, features: array<struct<type: string, properties: map<string, string>, geometry: struct<type: string>>>>"
+    j = files.select(F.from_json(body, kind, {"mode": "PERMISSIVE"}).alias("j"))
+    none = F.lit(None)
+    top = [("0_parse", F.col("j").isNull() | (F.col("j.type").isNull() & F.col("j.features").isNull()), none.cast("string")), ("0_collection", F.coalesce(F.col("j.type") != "FeatureCollection", F.lit(True)), F.col("j.type")), ("0_features", F.coalesce(F.size("j.features") <= 0, F.lit(True)), none.cast("string"))]
+    first = F.coalesce(*(F.when(test, F.struct(none.cast("int").alias("fseq"), F.lit(name).alias("rule"), detail.alias("detail"))) for name, test, detail in top))
+    each = j.select(F.posexplode("j.features").alias("fseq", "f"))
+    broken = [F.when(F.coalesce(F.col("f.type") != "Feature", F.lit(True)), F.struct(F.lit("0_feature").alias("rule"), F.col("f.type").alias("detail")))]
+    broken += [F.when(~F.coalesce(F.map_contains_key("f.properties", F.lit(p)), F.lit(False)), F.struct(F.lit("0_property").alias("rule"), F.lit(p).alias("detail"))) for p in properties]
+    broken += [F.when(~F.coalesce(F.col("f.geometry.type").isin("Polygon", "MultiPolygon"), F.lit(False)), F.struct(F.lit("0_geometry").alias("rule"), F.col("f.geometry.type").alias("detail")))]
+    rows = each.select("fseq", F.explode(F.filter(F.array(*broken), lambda r: r.isNotNull())).alias("b")).select("fseq", "b.rule", "b.detail")
+    return j.select(first.alias("v")).where("v IS NOT NULL").select("v.*").unionByName(rows)

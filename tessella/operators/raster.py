@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -64,19 +63,22 @@ def run_lengths(bits: DataFrame, order: str = "i", group: str = "region") -> Dat
     return bits.withColumn("island", F.col(order) - F.row_number().over(w)).groupBy(group, "bit", "island").agg(F.min(order).alias("start"), F.count("*").alias("length")).drop("island")
 
 
-def encode(runs: DataFrame, group: str = "region") -> DataFrame:
-    """Run lengths as base64 of unsigned LEB128 numbers, zeros first: a raster that begins with ones has an empty first run."""
+def varint_hex(v: Column) -> Column:
+    """An unsigned number as LEB128, in hexadecimal: groups of seven bits, low ones first, all but the last marked."""
+    groups = F.ceil(F.greatest(F.lit(1), F.length(F.bin(v))) / 7).cast("int")
+    return F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), lambda k: F.lpad(F.hex(F.call_function("shiftrightunsigned", v.cast("long"), 7 * k).bitwiseAND(F.lit(127)).bitwiseOR(F.when(k < groups - 1, 128).otherwise(0))), 2, "0")), "")
 
-    def pack(lengths: pd.Series) -> pd.Series:
-        return lengths.map(varints)
 
-    packed = F.pandas_udf(pack, "binary")
+def encode(runs: DataFrame, group: str = "region") -> DataFrame:
+    """Run lengths as base64 of unsigned LEB128 numbers, zeros first: a raster that begins with ones has an empty first run."""
     lists = runs.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("start", "length", "bit"))).alias("r"))
     lengths = F.concat(F.when(F.get("r", F.lit(0))["bit"], F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<bigint>")), F.transform("r", lambda x: x["length"]))
-    return lists.select(group, F.regexp_replace(F.base64(packed(lengths)), r"\s", "").alias("rle"), F.size(lengths).alias("n_runs"))
+    packed = F.unhex(F.array_join(F.transform(lengths, varint_hex), ""))
+    return lists.select(group, F.regexp_replace(F.base64(packed), r"\s", "").alias("rle"), F.size(lengths).alias("n_runs"))
 
 
 def varints(values) -> bytes:
+    """The numbers as varint_hex() writes them, outside Spark."""
     out = bytearray()
     for v in map(int, values):
         while v > 0x7F:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import haversine_km, ring_contains, tide_band
+from ..storage import stored
 
 #: Rows of a dimension that are broadcast at most, by count.
 BROADCAST_ROWS = 10_000
@@ -84,28 +84,30 @@ def zone_state(points: DataFrame, zones: DataFrame, coverage: DataFrame, *, key:
 def nearest_neighbour(points: DataFrame, targets: DataFrame, *, key: str, target_key: str, cell: float, reach: int = 64) -> DataFrame:
     """Each point's nearest target (x, y, ties to the smallest target_key) and the distance; null beyond reach cells.
 
-    Points probe rings of cells around their own: the 3 x 3 block, then blocks of twice the reach. A point is done once
-    its best distance is no more than the block guarantees, so the answer is exact; only the rest goes on.
+    Points probe the 3 x 3 block of cells around their own, then blocks of four times the side. A point is done once its
+    best distance is no more than a side, which the block guarantees, so the answer is exact; only the rest goes on, from
+    a stored table, and the rounds end when none is left.
     """
     todo = points.select(key, "x", "y")
     t = targets.select(F.col(target_key).alias("tk"), F.col("x").alias("tx"), F.col("y").alias("ty"))
     distance = F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty"))
-    done = None
-    r, side = 1, cell
+    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    done, r = None, 1
     while True:
+        side = cell * r
         keyed = t.withColumns({"bx": F.floor(F.col("tx") / side), "by": F.floor(F.col("ty") / side)})
-        around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
         probes = todo.withColumn("o", F.explode(around)).withColumns({"bx": F.floor(F.col("x") / side) + F.col("o.i"), "by": F.floor(F.col("y") / side) + F.col("o.j")})
         best = probes.join(keyed, ["bx", "by"]).groupBy(key).agg(F.min(F.struct(distance.alias("d"), F.col("tk"))).alias("b"))
-        met = todo.join(best, key, "left")
-        last = r >= reach
-        sure = F.lit(True) if last else F.coalesce(F.col("b.d") <= side, F.lit(False))
-        found = met.where(sure).select(key, F.col("b.tk").alias("target"), F.col("b.d").alias("distance"))
+        met = todo.join(best, key, "left").withColumn("b", F.when(F.col("b.d") <= side, F.col("b")))
+        met = met if r >= reach else stored(met)
+        found = met.where(F.lit(r >= reach) | F.col("b").isNotNull()).select(key, F.col("b.tk").alias("target"), F.col("b.d").alias("distance"))
         done = found if done is None else done.unionByName(found)
-        if last:
+        if r >= reach:
             return done
-        todo = met.where(~sure).select(key, "x", "y")
-        r, side = r * 4, side * 4
+        todo = met.where("b IS NULL").select(key, "x", "y")
+        if todo.isEmpty():
+            return done
+        r = min(4 * r, reach)
 
 
 def above_tide(points: DataFrame, *, elevation: str = "e") -> DataFrame:
@@ -139,10 +141,37 @@ def grid_dims(span: Column, cell: float) -> Column:
     return F.greatest(F.lit(1), F.rint(span / cell).cast("int"))
 
 
-def degrees_of(metres: float) -> float:
-    return metres / 111_320
-
-
-def reach_for(cell: float, span: float) -> int:
-    """Cells that a search must reach to cover a span."""
-    return max(1, math.ceil(span / cell))
+def cell_mesh(regions: DataFrame, cell: float) -> DataFrame:
+    """(region, row, col, lat, lng): the centre of every cell of each region's raster; rows count from the north."""
+    r = regions.withColumns({"rows": grid_dims(F.col("n") - F.col("s"), cell), "cols": grid_dims(F.col("e") - F.col("w"), cell)})
+    r = r.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
+    lat = F.col("n") - (F.col("row") + 0.5) * (F.col("n") - F.col("s")) / F.col("rows")
+    return r.select("region", "row", "col", lat.alias("lat"), (F.col("w") + (F.col("col") + 0.5) * (F.col("e") - F.col("w")) / F.col("cols")).alias("lng"))
+
+
+def in_any(points: DataFrame, zones: DataFrame, *, keys: Sequence[str], x: str = "lng", y: str = "lat", bucket: float = 0.25) -> DataFrame:
+    """points' keys and whether any polygon holds the point: a raster of cell centres, if the points are a mesh."""
+    named = points.withColumn("__k", F.struct(*keys))
+    hits = polygon_hits(named, zones, key="__k", x=x, y=y, bucket=bucket).select("__k").distinct().withColumn("__hit", F.lit(True))
+    return named.join(hits, "__k", "left").select(*keys, F.coalesce("__hit", F.lit(False)).alias("bit"))
+
+
+def representative(ring: str) -> Column:
+    """A point inside a simple ring: half-way between the first two crossings of the line half-way up."""
+    r = F.col(ring)
+    ys = F.transform(r, lambda v: v["y"])
+    level = (F.array_min(ys) + F.array_max(ys)) / 2
+    pairs = F.zip_with(r, F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1)), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
+    crossed = F.filter(pairs, lambda e: (e["y1"] > level) != (e["y2"] > level))
+    xs = F.sort_array(F.transform(crossed, lambda e: (e["x2"] - e["x1"]) * (level - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]))
+    return F.struct(((F.get(xs, F.lit(0)) + F.get(xs, F.lit(1))) / 2).alias("x"), level.alias("y"))
+
+
+def with_holes(members: DataFrame) -> DataFrame:
+    """(rel_id, pos, rings) for each outer ring of members (rel_id, pos, role, ring): the ring, then by pos the relation's
+    inner rings that lie in it. Inner rings in no outer ring go."""
+    outer = members.where("role = 'outer'").select("rel_id", "pos", "ring")
+    inner = members.where("role = 'inner'").select("rel_id", F.col("pos").alias("ipos"), F.col("ring").alias("hole"), representative("ring").alias("p"))
+    held = outer.join(inner, "rel_id").where(ring_contains("ring", F.col("p.x"), F.col("p.y"))).groupBy("rel_id", "pos").agg(F.transform(F.sort_array(F.collect_list(F.struct("ipos", "hole"))), lambda h: h["hole"]).alias("holes"))
+    rings = F.concat(F.array("ring"), F.coalesce("holes", F.array().cast(f"array<{outer.schema['ring'].dataType.simpleString()}>")))
+    return outer.join(held, ["rel_id", "pos"], "left").select("rel_id", "pos", rings.alias("rings"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.columns import cell_round
+from ..storage import stored
 
 
 def conditional_argmax(points: DataFrame, cell: Sequence[str], value: str, order: str) -> DataFrame:
@@ -38,16 +39,34 @@ def candidate_counts(points: DataFrame, sizes: Sequence[float] = (150, 175, 180,
 
 
 def spaced_picks(cells: DataFrame, order: str, picks: int = 5, least: int = 3) -> DataFrame:
-    """Evenly spaced cells among those with enough points, first and last included."""
-    some = cells.where(F.col("n") >= least)
-    total = some.count()
-    if not total:
-        return some.withColumn("place", F.lit(0))
-    wanted = sorted({int(k * (total - 1) / max(picks - 1, 1)) for k in range(picks)})
-    placed = some.orderBy(order).offset(wanted[0]).limit(1).withColumn("place", F.lit(wanted[0]))
-    for k in wanted[1:]:
-        placed = placed.unionByName(some.orderBy(order).offset(k).limit(1).withColumn("place", F.lit(k)))
-    return placed
+    """Evenly spaced cells among those with enough points, first and last included.
+
+    Cells are sorted once over all tasks; a count for each part says which parts hold a pick, and only these are ranked.
+    """
+    some = stored(cells.where(F.col("n") >= least).repartitionByRange(order).withColumn("__part", F.spark_partition_id()))
+    counts = sorted(some.groupBy("__part").agg(F.count("*"), F.min(order).alias("first")).collect(), key=lambda r: r["first"])  # one row a task
+    total, begin, wanted = sum(r[1] for r in counts), 0, []
+    places = sorted({int(k * (total - 1) / max(picks - 1, 1)) for k in range(picks)}) if total else []
+    for r in counts:
+        wanted += [(r[0], p - begin, p) for p in places if begin <= p < begin + r[1]]
+        begin += r[1]
+    which = cells.sparkSession.createDataFrame(wanted, "__part int, __at int, place int")
+    ranked = some.where(F.col("__part").isin(*{w[0] for w in wanted}) if wanted else F.lit(False)).withColumn("__at", F.row_number().over(W.partitionBy("__part").orderBy(order)) - 1)
+    return ranked.join(F.broadcast(which), ["__part", "__at"]).drop("__part", "__at")  # as many rows as picks
+
+
+def thin_to_cap(points: DataFrame, value: str, order: str, cap: int = 25_000, size: float = 25.0, doublings: int = 24) -> DataFrame:
+    """points, or if they are more than cap one a cell by conditional_argmax() on the finest grid, of cells of size, twice
+    that and so on, that leaves no more than cap."""
+    if points.count() <= cap:
+        return points
+    sizes = [size * 2**k for k in range(doublings)]
+    counts = {r["size"]: r["n_cells"] for r in candidate_counts(points, sizes).collect()}
+    fit = [s for s in sizes if counts[s] <= cap]
+    if not fit:
+        raise ValueError(f"no grid up to {sizes[-1]} leaves {cap} points")
+    gridded = points.withColumns({"__ge": cell_round("x", fit[0]), "__gn": cell_round("y", fit[0])})
+    return conditional_argmax(gridded, ("__ge", "__gn"), value, order).drop("__ge", "__gn")
 
 
 def grid(points: DataFrame, size: float) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import cell_floor, depth, lat_offset, round_to, to_geographic, to_grid
-from ..operators import audit, cells, mask, quality, raster, spatial, thin
+from ..functions.columns import cell_floor, depth, grid_of, lat_offset, round_to, to_geographic, to_grid
+from ..operators import audit, cells, mask, quality, raster, spatial, surface, thin, zones
 from . import surrogates as S
 
 QUERIES: dict = {}
@@ -165,10 +165,39 @@ def artifact_running_total(spark: SparkSession, d: str) -> DataFrame:
     return audit.running_total(_status(spark, d), least=2)
 
 
-@query(_CLASSES + " SELECT tile_id AS name, status, sus_cells, NULL::VARCHAR AS method FROM t WHERE tile_id % 2 = 0 UNION ALL SELECT tile_id, status, sus_cells, 'density' FROM t WHERE tile_id % 2 = 1")
+@query(
+    _CLASSES
+    + """ SELECT tile_id AS name, status, sus_cells, NULL::VARCHAR AS method, NULL::VARCHAR AS "group" FROM t WHERE tile_id % 2 = 0
+UNION ALL SELECT tile_id, status, sus_cells, 'adjacency', 'A' FROM t WHERE tile_id % 2 = 1 UNION ALL SELECT tile_id, status, sus_cells, 'density', 'B' FROM t WHERE tile_id % 5 = 0"""
+)
 def union_audit_results(spark: SparkSession, d: str) -> DataFrame:
     t = _status(spark, d).select(F.col("tile_id").alias("name"), "status", "sus_cells")
-    return audit.merge_results(t.where("name % 2 = 0"), t.where("name % 2 = 1").withColumn("method", F.lit("density")))
+    tagged = lambda rows, method, group: rows.withColumns({"method": F.lit(method), "group": F.lit(group)})
+    new = tagged(t.where("name % 2 = 1"), "adjacency", "A").unionByName(tagged(t.where("name % 5 = 0"), "density", "B"))
+    return audit.merge_results(t.where("name % 2 = 0"), new)
+
+
+@query(
+    _CLASSES
+    + """ SELECT tile_id AS name, survey, status, 'A' AS "group" FROM t WHERE tile_id % 3 = 1
+UNION ALL SELECT tile_id, survey, status, NULL FROM t WHERE tile_id % 3 = 0 AND tile_id % 4 <> 0 AND survey IN ('FRANCE', 'GERMANY', 'INDIA', 'CHINA', 'KENYA', 'PERU', 'JAPAN', 'IRAN')"""
+)
+def group_a_with_spot_tiles(spark: SparkSession, d: str) -> DataFrame:
+    t = _status(spark, d).select(F.col("tile_id").alias("name"), "survey", "status")
+    k = F.col("name")
+    new = t.where(k % 3 != 0).withColumn("group", F.when(k % 3 == 1, "A").otherwise("B"))
+    old = t.where(k % 3 == 0).withColumn("method", F.when(k % 4 == 0, "density"))
+    return audit.group_picture(new, old, ("FRANCE", "GERMANY", "INDIA", "CHINA", "KENYA", "PERU", "JAPAN", "IRAN")).select("name", "survey", "status", "group")
+
+
+@query(
+    _CLASSES
+    + """, sc AS (SELECT o_custkey % 97 AS name, o_orderkey AS scan_seq, o_orderkey % 1000 AS n_points FROM orders), last AS (SELECT name, arg_max(n_points, scan_seq) AS n_points, max(scan_seq) AS scan_seq FROM sc GROUP BY name)
+SELECT tile_id AS name, status, scan_seq, n_points::BIGINT AS n_points FROM t JOIN last ON tile_id = name"""
+)
+def results_with_scan(spark: SparkSession, d: str) -> DataFrame:
+    scan = S.table(spark, d, "orders").select((F.col("o_custkey") % 97).alias("name"), F.col("o_orderkey").alias("scan_seq"), (F.col("o_orderkey") % 1000).cast("long").alias("n_points"))
+    return quality.semi_join_results(_status(spark, d).select(F.col("tile_id").alias("name"), "status"), scan)
 
 
 @query(_CLASSES + " SELECT survey, tile_id, sus_cells, place FROM (SELECT *, (row_number() OVER (PARTITION BY survey ORDER BY sus_cells DESC, tile_id))::INT AS place FROM t WHERE status = 'HIT') WHERE place <= 2")
@@ -270,18 +299,23 @@ def stride_sample(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text and features
 
-_LISTED = "lower(substr(p_name, 1, 4)) || CASE WHEN p_partkey % 3 = 0 THEN '2014' ELSE '' END || CASE WHEN p_partkey % 2 = 0 THEN '_SW_' ELSE '-sw_' END || p_size || '_' || (p_partkey % 7000) || '_1' || CASE WHEN p_partkey % 5 = 0 THEN 'K' ELSE 'k' END || '.zip'"
+_SURVEY = "substr(p_name, 1, 4) || CASE WHEN p_partkey % 3 = 0 THEN '_2014_LGA' WHEN p_partkey % 3 = 1 THEN 'Coast_2022_LGA' ELSE '_SW_2009' END"
+_LISTED = (
+    "CASE WHEN p_partkey % 11 = 0 THEN 'Archive: ' ELSE '' END || (p_size * 1000) || ' 2020-0' || (p_partkey % 9 + 1) || '-11 10:22:33 ' || CASE WHEN p_partkey % 13 = 0 THEN 'Elsewhere/' ELSE 'QLD Government/Point Clouds/AHD/' END || "
+    + _SURVEY
+    + " || CASE WHEN p_partkey % 2 = 0 THEN '_SW_' ELSE '_sw_' END || p_size || '_' || (p_partkey % 7000) || '_1' || CASE WHEN p_partkey % 5 = 0 THEN 'K' ELSE 'k' END || '.zip'"
+)
 
 
 @query(
-    f"""WITH l AS (SELECT 'x/' || {_LISTED} AS line FROM part), s(survey, srank) AS (SELECT DISTINCT lower(substr(p_name, 1, 4)), 1 FROM part WHERE p_partkey % 4 = 0)
-SELECT regexp_extract(line, '(\\S*/)?(([A-Za-z]+?)(\\d{{4}})?[-_](?:SW|sw)_(\\d+)_(\\d+)_1[Kk]\\S*)', 2) AS name, s.survey, regexp_extract(line, '_(\\d+)_(\\d+)_1[Kk]', 1)::INT AS e, regexp_extract(line, '_(\\d+)_(\\d+)_1[Kk]', 2)::INT AS n, srank
-FROM l JOIN s ON s.survey = regexp_extract(line, '(\\S*/)?(([A-Za-z]+?)(\\d{{4}})?[-_](?:SW|sw)_(\\d+)_(\\d+)_1[Kk]\\S*)', 3)"""
+    f"""WITH l AS (SELECT regexp_extract({_LISTED}, '[0-9]+\\s+[0-9-]+\\s+[0-9:]+\\s+(QLD Government/Point Clouds/AHD/(\\S+))', 2) AS name FROM part), s(survey, srank) AS (SELECT DISTINCT {_SURVEY}, 1 FROM part WHERE p_partkey % 4 = 0),
+m AS (SELECT name, regexp_extract(name, '^(.+?)_(SW|sw)_([0-9]+)_([0-9]+)_1[Kk]', ['survey', 'sheet', 'e', 'n']) AS g FROM l WHERE regexp_matches(name, '^(.+?)_(SW|sw)_([0-9]+)_([0-9]+)_1[Kk]'))
+SELECT name, s.survey, g.e::INT AS e, g.n::INT AS n, srank FROM m JOIN s ON s.survey = g.survey"""
 )
 def manifest_regex_parse(spark: SparkSession, d: str) -> DataFrame:
     p = S.table(spark, d, "part")
-    surveys = p.where("p_partkey % 4 = 0").select(F.expr("lower(substr(p_name, 1, 4))").alias("survey"), F.lit(1).alias("srank")).distinct()
-    return quality.manifest(p.select(F.expr(f"'x/' || {_LISTED}").alias("line")), surveys).select("name", "survey", "e", "n", "srank")
+    surveys = p.where("p_partkey % 4 = 0").select(F.expr(_SURVEY).alias("survey"), F.lit(1).alias("srank")).distinct()
+    return quality.manifest(p.select(F.expr(_LISTED).alias("line")), surveys).select("name", "survey", "e", "n", "srank")
 
 
 _FEATURES = (
@@ -326,9 +360,9 @@ def dedupe_by_type_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT user_id % 300 AS tile, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 0 ELSE event_id % 2 END AS n, user_id % 100 / 100e0 AS ocean FROM events WHERE event_id < 600),
+    """WITH a AS (SELECT user_id % 300 AS tile, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 0 ELSE event_id % 2 END AS n, user_id % 100 / 100e0 AS ocean FROM events),
 g AS (SELECT tile, count(*) FILTER (n > 0) AS n_some, count(*) FILTER (n = 0) AS n_empty, count(*) FILTER (n IS NULL) AS n_failed, max(ocean) AS ocean FROM a GROUP BY tile)
-SELECT tile, n_some, n_empty, n_failed, CASE WHEN n_some > 0 THEN 'elements' WHEN n_empty >= 2 OR (n_empty >= 1 AND coalesce(ocean, 0) >= 0.95e0) OR (n_empty = 1 AND n_failed > 0) THEN 'empty' WHEN n_empty = 1 THEN 'ask_again' ELSE 'failed' END AS verdict FROM g"""
+SELECT tile, n_some, n_empty, n_failed, CASE WHEN n_some > 0 THEN 'elements' WHEN n_empty >= 2 OR (n_empty >= 1 AND coalesce(ocean, 0) >= 0.95e0) OR (n_empty = 1 AND n_empty + n_failed >= 2) THEN 'empty' WHEN n_empty + n_failed < 2 THEN 'ask_again' ELSE 'failed' END AS verdict FROM g"""
 )
 def mirror_empty_arbitration(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("event_id")
@@ -338,7 +372,7 @@ def mirror_empty_arbitration(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """WITH w AS (SELECT o_orderkey AS way_id, [o_orderkey, o_custkey, o_orderkey + 1, o_orderkey] AS g FROM orders WHERE o_orderkey % 3 = 0),
-m AS (SELECT l_orderkey % 500 AS rel_id, l_orderkey AS ref, l_linenumber, l_partkey, l_suppkey, l_returnflag, CASE WHEN l_linenumber = 1 THEN [l_partkey, l_suppkey, l_partkey + 1, l_suppkey + 1] WHEN l_linenumber = 2 THEN [l_partkey] END AS own FROM lineitem WHERE l_orderkey < 2000),
+m AS (SELECT l_orderkey % 500 AS rel_id, l_orderkey AS ref, l_linenumber, l_partkey, l_suppkey, l_returnflag, CASE WHEN l_linenumber = 1 THEN [l_partkey, l_suppkey, l_partkey + 1, l_suppkey + 1] WHEN l_linenumber = 2 THEN [l_partkey] END AS own FROM lineitem),
 j AS (SELECT rel_id, ref, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag = 'R' THEN 'inner' ELSE 'outer' END AS role, coalesce(own, w.g) AS g FROM m LEFT JOIN w ON w.way_id = m.ref)
 SELECT rel_id, role, count(*) AS n_rings, sum(CASE WHEN g[1] = g[-1] THEN len(g) ELSE len(g) + 1 END)::BIGINT AS n_vertices FROM j WHERE len(g) >= 4 GROUP BY 1, 2"""
 )
@@ -426,6 +460,29 @@ def tm_project_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return p.select("pid", (F.abs(lat - F.col("lat")) < 1e-8).alias("lat_same"), (F.abs(lng - F.col("lng")) < 1e-8).alias("lng_same"), (F.col("east").between(400_000, 600_000) & F.col("north").between(6_900_000, 7_300_000)).alias("plausible"))
 
 
+def _krueger_sql() -> str:
+    """Transverse Mercator of the standard's series, written out for SQL: n is the third flattening, A the rectifying radius."""
+    f = "(1 / 298.257222101e0)"
+    n = f"({f} / (2 - {f}))"
+    radius = f"(6378137e0 / (1 + {n}) * (1 + pow({n}, 2) / 4 + pow({n}, 4) / 64))"
+    alpha = (f"({n} / 2 - 2 * pow({n}, 2) / 3 + 5 * pow({n}, 3) / 16)", f"(13 * pow({n}, 2) / 48 - 3 * pow({n}, 3) / 5)", f"(61 * pow({n}, 3) / 240)")
+    sinh, cosh = (lambda x, sign=sign: f"((exp({x}) {sign} exp(-({x}))) / 2)" for sign in ("-", "+"))
+    atanh = lambda x: f"(ln((1 + {x}) / (1 - ({x}))) / 2)"
+    e = f"sqrt({f} * (2 - {f}))"
+    east = " + ".join(["eta", *(f"{a} * cos({2 * j} * xi) * {sinh(f'{2 * j} * eta')}" for j, a in enumerate(alpha, 1))])
+    north = " + ".join(["xi", *(f"{a} * sin({2 * j} * xi) * {cosh(f'{2 * j} * eta')}" for j, a in enumerate(alpha, 1))])
+    return f"""q AS (SELECT pid, {atanh('sin(radians(lat))')} - {e} * {atanh(f'{e} * sin(radians(lat))')} AS psi, radians(lng - (pid % 2 * 6 + 147)) AS lam FROM places),
+t AS (SELECT pid, {sinh('psi')} AS t, lam FROM q), x AS (SELECT pid, atan2(t, cos(lam)) AS xi, {atanh('(sin(lam) / sqrt(1 + t * t))')} AS eta FROM t),
+grid AS (SELECT pid, 500000 + 0.9996e0 * {radius} * ({east}) AS east, 10000000 + 0.9996e0 * {radius} * ({north}) AS north FROM x)"""
+
+
+@query("WITH " + S.PLACES + ", " + _krueger_sql() + " SELECT pid, (28355 + pid % 2)::BIGINT AS epsg, round(east * 1000)::BIGINT AS east_mm, round(north * 1000)::BIGINT AS north_mm FROM grid")
+def tm_project_grid(spark: SparkSession, d: str) -> DataFrame:
+    p = S.places(spark, d).withColumn("epsg", 28355 + F.col("pid") % 2)
+    east, north = grid_of("epsg", "lat", "lng")
+    return p.select("pid", "epsg", F.round(east * 1000).cast("long").alias("east_mm"), F.round(north * 1000).cast("long").alias("north_mm"))
+
+
 @query(
     "WITH "
     + S.PLACES
@@ -513,7 +570,7 @@ dense AS (SELECT way_id, pos, k, x + k / n::DOUBLE * (bx - x) AS cx, y + k / n::
     _COAST
     + ", "
     + S.DEPTHS
-    + """, c AS (SELECT row_id, x AS px, y AS py FROM depths WHERE row_id % 5 = 0),
+    + """, c AS (SELECT row_id, x AS px, y AS py FROM depths),
 j AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY sqrt((px - cx) * (px - cx) + (py - cy) * (py - cy)), way_id, pos, k) AS r FROM c, dense)
 SELECT row_id, (bx - ax) * (py - ay) - (b_y - ay) * (px - ax) < 0 AS sea, round(sqrt((px - cx) * (px - cx) + (py - cy) * (py - cy)) * 1000)::BIGINT AS mm FROM j WHERE r = 1"""
 )
@@ -547,6 +604,146 @@ def run_length_encode(spark: SparkSession, d: str) -> DataFrame:
     return _runs(spark, d)
 
 
-@query()
+_VARINTS = """l AS (SELECT region, list_concat(CASE WHEN arg_min(bit, start) THEN [0::BIGINT] ELSE []::BIGINT[] END, list("length" ORDER BY start)) AS r FROM (SELECT region, bit, min(i) AS start, count(*) AS "length" FROM g GROUP BY region, bit, g) GROUP BY region),
+v AS (SELECT region, r, generate_subscripts(r, 1) AS i, unnest(r) AS v FROM l),
+b AS (SELECT region, i, v, unnest(range(0, CASE WHEN v < 128 THEN 1 WHEN v < 16384 THEN 2 WHEN v < 2097152 THEN 3 ELSE 4 END)) AS k, CASE WHEN v < 128 THEN 1 WHEN v < 16384 THEN 2 WHEN v < 2097152 THEN 3 ELSE 4 END AS n FROM v),
+h AS (SELECT region, string_agg(lpad(hex(((v >> (7 * k)::INT) & 127) | CASE WHEN k < n - 1 THEN 128 ELSE 0 END), 2, '0'), '' ORDER BY i, k) AS h FROM b GROUP BY region)"""
+
+
+@query("WITH " + _BITS.replace("b AS (", "e AS (", 1) + ", g AS (SELECT *, i - row_number() OVER (PARTITION BY region, bit ORDER BY i) AS g FROM e), " + _VARINTS + " SELECT region, to_base64(unhex(h)) AS rle, len(r)::INT AS n_runs FROM h JOIN l USING (region)")
 def run_length_varints(spark: SparkSession, d: str) -> DataFrame:
     return raster.encode(_runs(spark, d))
+
+
+# ---------------------------------------------------------------- meshes, masks and samples
+
+_MESH_CELL = 0.02
+_MESH = (
+    S.REGION_VALUES
+    + f""", dims AS (SELECT region, rseq, s, w, n, e, greatest(1, round_even((n - s) / {_MESH_CELL}e0, 0))::INT AS n_rows, greatest(1, round_even((e - w) / {_MESH_CELL}e0, 0))::INT AS n_cols FROM regions),
+mesh AS (SELECT region, r::INT AS row, c::INT AS col, n - (r + 0.5e0) * (n - s) / n_rows AS lat, w + (c + 0.5e0) * (e - w) / n_cols AS lng FROM dims, range(0, 60) a(r), range(0, 60) b(c) WHERE r < n_rows AND c < n_cols)"""
+)
+_RASTERISED = _MESH + ", " + S.EDGES + """, inside AS (SELECT DISTINCT region, row, col FROM (SELECT region, row, col, zseq FROM mesh, edges WHERE (y1 > lat) <> (y2 > lat) AND lng < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)),
+bits AS (SELECT region, row, col, i.region IS NOT NULL AS bit FROM mesh m LEFT JOIN inside i USING (region, row, col))"""
+
+
+@query("WITH " + _MESH + " SELECT region, row, col, round(lat * 1000000)::BIGINT AS lat_e6, round(lng * 1000000)::BIGINT AS lng_e6 FROM mesh")
+def cell_centre_mesh(spark: SparkSession, d: str) -> DataFrame:
+    m = spatial.cell_mesh(S.regions(spark), _MESH_CELL)
+    return m.select("region", "row", "col", *(F.round(F.col(c) * 1000000).cast("long").alias(f"{c}_e6") for c in ("lat", "lng")))
+
+
+def _water(spark: SparkSession) -> DataFrame:
+    return spatial.in_any(spatial.cell_mesh(S.regions(spark), _MESH_CELL), S.zones(spark), keys=("region", "row", "col"))
+
+
+@query("WITH " + _RASTERISED.replace("i.region IS NOT NULL", "i.row IS NOT NULL").replace("SELECT region, row, col, i.row", "SELECT m.region, m.row, m.col, i.row").replace("LEFT JOIN inside i USING (region, row, col)", "LEFT JOIN inside i ON i.region = m.region AND i.row = m.row AND i.col = m.col") + " SELECT * FROM bits")
+def rasterised_zones(spark: SparkSession, d: str) -> DataFrame:
+    return _water(spark)
+
+
+@query(
+    ORACLE_SQL["rasterised_zones"].removesuffix(" SELECT * FROM bits")
+    + ", "
+    + _NEAREST.removeprefix("WITH ")
+    + """, g AS (SELECT *, CASE WHEN pid % 10 = 0 THEN 'woongarra' ELSE 'own' END AS source FROM near WHERE e <= hat),
+pt AS (SELECT g.*, (SELECT arg_min(region, rseq) FROM dims WHERE lat BETWEEN s AND n AND lng BETWEEN w AND dims.e) AS region FROM g),
+pl AS (SELECT pt.*, least(greatest(trunc((dims.n - lat) / (dims.n - dims.s) * n_rows)::INT, 0), n_rows - 1) AS row, least(greatest(trunc((lng - dims.w) / (dims.e - dims.w) * n_cols)::INT, 0), n_cols - 1) AS col FROM pt LEFT JOIN dims USING (region))
+SELECT pid, pl.region, port, CASE WHEN e < 0 THEN 'blue' WHEN e <= b1 THEN 'teal' WHEN e <= b2 THEN 'amber' ELSE 'gold' END AS band
+FROM pl LEFT JOIN bits ON bits.region = pl.region AND bits.row = pl.row AND bits.col = pl.col WHERE pl.region IS NULL OR source = 'woongarra' OR bit"""
+)
+def depth_samples(spark: SparkSession, d: str) -> DataFrame:
+    p = S.places(spark, d).withColumn("source", F.when(F.col("pid") % 10 == 0, "woongarra").otherwise("own"))
+    return surface.depth_samples(p, S.ports(spark), S.regions(spark), _water(spark), _MESH_CELL).select("pid", "region", "port", "band")
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, j AS (SELECT p.row_id, s.depth AS v, sqrt((p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y)) AS d FROM depths p, depths s WHERE p.row_id % 2 = 0 AND s.row_id % 2 = 1 AND abs(p.x - s.x) <= 30 AND abs(p.y - s.y) <= 30),
+g AS (SELECT row_id, count(*) AS n, count(*) FILTER (d = 0) AS n_on, sum(round(v * 1e6)) FILTER (d = 0) AS on_v, sum(round(pow(30 / d, 2) * v * 1e6)) FILTER (d > 0) AS wv, sum(round(pow(30 / d, 2) * 1e6)) FILTER (d > 0) AS w FROM j WHERE d <= 30 GROUP BY row_id)
+SELECT p.row_id, round(CASE WHEN n_on > 0 THEN on_v / 1e6 / n_on ELSE wv / w END * 1000)::BIGINT AS depth_mm, coalesce(n, 0)::BIGINT AS n FROM depths p LEFT JOIN g USING (row_id) WHERE p.row_id % 2 = 0"""
+)
+def weighted_interpolation(spark: SparkSession, d: str) -> DataFrame:
+    p = S.depths(spark, d)
+    got = surface.interpolated(p.where("row_id % 2 = 0"), p.where("row_id % 2 = 1"), key="row_id", reach=30.0)
+    return got.select("row_id", F.round(F.col("depth") * 1000).cast("long").alias("depth_mm"), "n")
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, c AS (SELECT n_nationkey AS place, (n_nationkey * 37 % 1000)::DOUBLE AS x, (n_nationkey * 91 % 990)::DOUBLE AS y FROM nation),
+o AS (SELECT place, x + i * 7 AS x, y + j * 7 AS y FROM c, range(-7, 8) a(i), range(-7, 8) b(j) WHERE (i * i + j * j) * 49 <= 2500),
+j AS (SELECT place, o.x, o.y, s.depth AS v, sqrt((o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y)) AS d FROM o, depths s WHERE abs(o.x - s.x) <= 20 AND abs(o.y - s.y) <= 20),
+g AS (SELECT place, x, y, CASE WHEN count(*) FILTER (d = 0) > 0 THEN sum(round(v * 1e6)) FILTER (d = 0) / 1e6 / count(*) FILTER (d = 0) ELSE sum(round(pow(20 / d, 2) * v * 1e6)) FILTER (d > 0) / sum(round(pow(20 / d, 2) * 1e6)) FILTER (d > 0) END AS depth FROM j WHERE d <= 20 GROUP BY 1, 2, 3)
+SELECT place, round(depth * 1000)::BIGINT AS depth_mm, x, y FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY round(depth * 1e6) DESC, x, y) AS k FROM g) WHERE k = 1"""
+)
+def deepest_nearby(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    places = S.table(spark, d, "nation").select(k.alias("place"), (k * 37 % 1000).cast("double").alias("x"), (k * 91 % 990).cast("double").alias("y"))
+    got = surface.deepest(places, S.depths(spark, d), key="place", radius=50.0, step=7.0, reach=20.0)
+    return got.select("place", F.round(F.col("depth") * 1000).cast("long").alias("depth_mm"), "x", "y")
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, j AS (SELECT p.row_id, s.row_id AS target, s.depth AS imported, sqrt((p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y)) AS d FROM depths p, depths s WHERE p.row_id % 3 = 0 AND s.row_id % 3 <> 0 AND abs(p.x - s.x) <= 12 AND abs(p.y - s.y) <= 12),
+b AS (SELECT row_id, target, imported, d FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d, target) AS k FROM j) WHERE k = 1 AND d <= 12)
+SELECT p.row_id, target, round(d * 1000)::BIGINT AS mm, round((depth - imported) * 1000)::BIGINT AS difference_mm FROM depths p LEFT JOIN b USING (row_id) WHERE p.row_id % 3 = 0"""
+)
+def own_against_imported(spark: SparkSession, d: str) -> DataFrame:
+    p = S.depths(spark, d)
+    got = surface.compared(p.where("row_id % 3 = 0"), p.where("row_id % 3 <> 0"), key="row_id", imported_key="row_id", within=12.0, cell=3.0)
+    return got.select("row_id", "target", F.round(F.col("distance") * 1000).cast("long").alias("mm"), F.round(F.col("difference") * 1000).cast("long").alias("difference_mm"))
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, z AS (SELECT 25 * pow(2, k) AS size FROM range(0, 24) r(k)), n AS (SELECT size, count(DISTINCT ROW(round_even(x / size, 0), round_even(y / size, 0))) AS n FROM depths, z GROUP BY size),
+f AS (SELECT min(size) AS size FROM n WHERE n <= 200), c AS (SELECT d.*, round_even(x / size, 0) AS gx, round_even(y / size, 0) AS gy FROM depths d, f)
+SELECT row_id, depth FROM (SELECT *, row_number() OVER (PARTITION BY gx, gy ORDER BY CASE WHEN wet THEN -depth ELSE depth END, row_id) AS k FROM (SELECT *, bool_or(depth >= 0) OVER (PARTITION BY gx, gy) AS wet FROM c)) WHERE k = 1"""
+)
+def thin_to_import_cap(spark: SparkSession, d: str) -> DataFrame:
+    return thin.thin_to_cap(S.depths(spark, d), "depth", "row_id", cap=200).select("row_id", "depth")
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, e AS (SELECT cell, CASE WHEN max(depth) >= 0 THEN max(depth) ELSE min(depth) END AS expected, max(depth) AS kept, count(*) AS n FROM depths GROUP BY cell) SELECT cell, n, kept, expected, kept = expected AS ok FROM e"""
+)
+def kept_against_rule(spark: SparkSession, d: str) -> DataFrame:
+    p = S.depths(spark, d)
+    return quality.kept_as_expected(p, p.groupBy("cell").agg(F.max("depth").alias("depth")), ("cell",), "depth")
+
+
+@query(
+    """WITH o AS (SELECT c_nationkey AS rel_id, c_custkey AS pos, (c_custkey * 37 % 100)::DOUBLE AS x, (c_custkey * 91 % 100)::DOUBLE AS y FROM customer WHERE c_custkey % 2 = 0),
+i AS (SELECT c_nationkey AS rel_id, c_custkey AS pos, (c_custkey * 53 % 100) + 0.25e0 AS x, (c_custkey * 29 % 100) + 0.25e0 AS y FROM customer WHERE c_custkey % 2 = 1),
+h AS (SELECT o.rel_id, o.pos, i.pos AS ipos FROM o JOIN i ON i.rel_id = o.rel_id AND i.x + 0.5e0 > o.x AND i.x + 0.5e0 < o.x + 10 AND i.y + 0.5e0 > o.y AND i.y + 0.5e0 < o.y + 10)
+SELECT o.rel_id, o.pos, (1 + count(h.ipos))::INT AS n_rings, coalesce(string_agg(h.ipos, ',' ORDER BY h.ipos), '') AS holes FROM o LEFT JOIN h ON h.rel_id = o.rel_id AND h.pos = o.pos GROUP BY 1, 2"""
+)
+def rings_with_holes(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    square = lambda x, y, side: F.array(*(F.struct((x + side * a).alias("x"), (y + side * b).alias("y"), k.alias("who")) for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))))
+    ring = F.when(k % 2 == 0, square((k * 37 % 100).cast("double"), (k * 91 % 100).cast("double"), 10.0)).otherwise(square(k * 53 % 100 + 0.25, k * 29 % 100 + 0.25, 1.0))
+    m = S.table(spark, d, "customer").select(F.col("c_nationkey").alias("rel_id"), k.alias("pos"), F.when(k % 2 == 0, "outer").otherwise("inner").alias("role"), ring.alias("ring"))
+    holes = F.transform(F.slice("rings", 2, 1000), lambda r: F.get(r, F.lit(0))["who"].cast("string"))
+    return spatial.with_holes(m).select("rel_id", "pos", F.size("rings").alias("n_rings"), F.array_join(holes, ",").alias("holes"))
+
+
+@query(
+    """SELECT c_custkey::INT AS fseq, trim(c_name) AS name, CASE c_custkey % 4 WHEN 0 THEN 'MNP' WHEN 1 THEN 'CPZ' WHEN 2 THEN 'HPZ' ELSE 'GUZ' END AS zt, c_custkey % 4 = 0 AS notake,
+round(round((152.9e0 + c_acctbal / 7e4) * 1e5) / 1e5 * 1e5)::BIGINT AS x_e5, 4 AS n_vertices FROM customer"""
+)
+def zone_features(spark: SparkSession, d: str) -> DataFrame:
+    k, x = F.col("c_custkey"), F.lit(152.9) + F.col("c_acctbal") / F.lit(7e4)
+    kind = F.when(k % 4 == 0, " Marine National Park Zone").when(k % 4 == 1, "Conservation Park Zone ").when(k % 4 == 2, "Habitat Protection Zone").otherwise("General Use Zone")
+    record = F.create_map(F.lit("zone_type"), kind, F.lit("zone_name"), F.concat(F.lit(" "), "c_name"), F.lit("zone_id"), F.concat(F.lit("Z"), k.cast("string")))
+    ring = F.array(*(F.struct((x + a).alias("x"), F.lit(-27.0 + b).alias("y")) for a, b in ((0.0, 0.0), (0.1, 0.0), (0.0, 0.1))))
+    r = S.table(spark, d, "customer").select(k.cast("int").alias("fseq"), record.alias("record"), F.array(ring).alias("rings"))
+    f = zones.features(r, "plan", "source")
+    return f.select("fseq", "name", "zt", "notake", F.round(F.col("rings")[0][0]["x"] * 1e5).cast("long").alias("x_e5"), F.size(F.col("rings")[0]).alias("n_vertices"))

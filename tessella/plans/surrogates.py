@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.spatial import PORT_SCHEMA, PORTS, REGION_SCHEMA, REGIONS
+from ..operators.spatial import PORT_SCHEMA, PORTS, REGION_SCHEMA, REGIONS, small
 
 ORDER = ("tile_id", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice")
 ZONES = (
@@ -24,7 +24,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def points(spark: SparkSession, d: str) -> DataFrame:
     li, s, n = (table(spark, d, t) for t in ("lineitem", "supplier", "nation"))
-    tiles = s.join(F.broadcast(n), s["s_nationkey"] == n["n_nationkey"]).select(F.col("s_suppkey").alias("tile_id"), F.col("n_name").alias("survey"), F.col("n_regionkey").alias("rank"), F.when(F.col("n_nationkey") % 2 == 0, 28356).otherwise(7856).alias("epsg"))
+    tiles = s.join(small(n), s["s_nationkey"] == n["n_nationkey"]).select(F.col("s_suppkey").alias("tile_id"), F.col("n_name").alias("survey"), F.col("n_regionkey").alias("rank"), F.when(F.col("n_nationkey") % 2 == 0, 28356).otherwise(7856).alias("epsg"))
     x = F.lit(503000) + F.col("l_orderkey") * 7 % 1000 + F.lit(0.37) * F.col("l_quantity")
     y = F.lit(7052000) + F.col("l_partkey") * 13 % 1000 + F.lit(10.0) * F.col("l_discount")
     cls = F.when(F.col("l_returnflag") == "A", 2).when(F.col("l_returnflag") == "N", 9).otherwise(13)
