@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ring_contains
+from ..operators.audit import merge_results
+from ..operators.quality import require_bathymetry
+from ..operators.raster import WET
+from ..operators.spatial import grid_dims, small
+
 DEPTH_SCHEMA = "lat double, lng double, depth double"
 MANIFEST_SCHEMA = "outer string, path string, name string, survey string, e int, n int, port string, offset double, epsg int, rank int, src string, method string, `group` string, expected_sus int"
 ZONE_SCHEMA = "type string, features array<struct<type: string, properties: struct<name: string, zt: string, zid: string, notake: boolean, plan: string, src: string>, geometry: struct<type: string, coordinates: string>>>"
@@ -37,53 +40,13 @@ def zones_geojson(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("fseq", "f.properties.*", rings.alias("rings"))
 
 
-def listing(spark: SparkSession, path: str, outers: list[str]) -> DataFrame:
-    """Lines of listings of the named archives, with the archive's name."""
-    lines = spark.read.text(path).select(F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), r"\.listing\.txt$", "").alias("outer"), F.col("value").alias("line"))
+def listing(spark: SparkSession, path: str, outers: list[str], pattern: str = "*.listing.txt") -> DataFrame:
+    """Lines of the listings below path whose names fit the pattern and whose archives are named, with the archive's name;
+    bytes that are no text are replaced."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).select(F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), r"\.listing\.txt$", "").alias("outer"), F.col("value").alias("line"))
     return lines.where(F.col("outer").isin(*outers))
 
 
-def las_points(spark: SparkSession, path: str, read_las) -> DataFrame:
-    """Points of LAS files, plain or in a zip (its first .las or .laz member), one task a tile.
-
-    read_las(bytes) -> x, y, z, cls arrays is given by the caller, as no LAS library is required here. A tile that
-    fails is a row with its error and no point, so others go on: status is ok, no_las or error.
-    """
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
-
-        def member(data: bytes) -> bytes | None:
-            if not zipfile.is_zipfile(io.BytesIO(data)):
-                return data
-            with zipfile.ZipFile(io.BytesIO(data)) as z:
-                inner = [n for n in z.namelist() if n.lower().endswith((".las", ".laz"))]
-                if inner:
-                    return z.read(inner[0])
-                nested = [n for n in z.namelist() if n.lower().endswith(".zip")]
-                return member(z.read(nested[0])) if nested else None
-
-        for part in parts:
-            for name, data in zip(part["path"], part["content"], strict=True):
-                try:
-                    body = member(data)
-                    if body is None:
-                        yield pd.DataFrame([{"tile_id": name, "status": "no_las"}])
-                        continue
-                    x, y, z, cls = read_las(body)
-                    yield pd.DataFrame({"tile_id": name, "status": "ok", "error": None, "pt_seq": range(len(x)), "x": x, "y": y, "z": z, "cls": cls})
-                except Exception as e:  # the tile's error is its result
-                    yield pd.DataFrame([{"tile_id": name, "status": "error", "error": str(e)}])
-
-    def shaped(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in run(parts):
-            yield part.reindex(columns=["tile_id", "status", "error", "pt_seq", "x", "y", "z", "cls"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(shaped, "tile_id string, status string, error string, pt_seq long, x double, y double, z double, cls int")
-
-
 def is_tiff(content: str = "content"):
     """Whether bytes begin like a TIFF file."""
     return F.hex(F.substring(content, 1, 2)).isin("4949", "4D4D")
@@ -103,3 +66,43 @@ def write_json(rows: DataFrame, path: str) -> None:
 def checked(content_column: str, digest: str):
     """Whether a file's bytes have the SHA-256 that was recorded."""
     return F.sha2(F.col(content_column), 256) == F.lower(F.col(digest))
+
+
+def write_geojson(zones: DataFrame, path: str) -> None:
+    """Zone features (fseq, properties, rings) as one compact FeatureCollection; outer rings are polygons of their own,
+    unless all rings after the first lie within it by their first vertex, as holes do.
+
+    The collection is one value by its format, so zones must be a dimension: their number is checked.
+    """
+    first_in = F.forall(F.slice("rings", 2, 1_000_000), lambda r: ring_contains(F.get("rings", F.lit(0)), F.get(r, F.lit(0))["x"], F.get(r, F.lit(0))["y"]))
+    xy = F.transform("rings", lambda r: F.transform(r, lambda v: F.array(v["x"], v["y"])))
+    shape = F.when(first_in, F.to_json(F.struct(F.lit("Polygon").alias("type"), xy.alias("coordinates")))).otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.transform(xy, lambda r: F.array(r)).alias("coordinates"))))
+    properties = F.to_json(F.struct("name", "zt", "zid", "notake", "plan", "src"), {"ignoreNullFields": "false"})
+    text = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), shape, F.lit("}"))
+    rows = small(zones).select("fseq", text.alias("t")).agg(F.sort_array(F.collect_list(F.struct("fseq", "t"))).alias("f"))
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.transform("f", lambda x: x["t"]), ","), F.lit("]}"))
+    rows.select(whole.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_rle(encoded: DataFrame, regions: DataFrame, path: str, cell: float, least: float = WET) -> None:
+    """Run-length rasters (region, rle) and their boxes as one compact JSON text; regions are a dimension."""
+    dims = {"cols": grid_dims(F.col("e") - F.col("w"), cell), "rows": grid_dims(F.col("n") - F.col("s"), cell)}
+    r = small(regions).join(encoded, "region").withColumns(dims)
+    one = F.struct("rseq", F.struct(F.col("region").alias("key"), "s", "w", "n", "e", "cols", "rows", "rle").alias("r"))
+    got = r.agg(F.sort_array(F.collect_list(one)).alias("a"))
+    whole = F.struct(F.lit(1).alias("v"), F.lit(float(cell)).alias("cell"), F.lit(float(least)).alias("freqMin"), F.transform("a", lambda x: x["r"]).alias("regions"))
+    got.select(F.to_json(whole).alias("value")).write.mode("overwrite").text(path)
+
+
+def append_results(spark: SparkSession, path: str, new: DataFrame, key: str = "name") -> None:
+    """Merge new results into the table at path, which is first copied beside itself; refuses what merge_results() refuses."""
+    old = spark.read.parquet(path)
+    merged = merge_results(old, new, key)
+    old.write.mode("overwrite").parquet(path + ".before")
+    merged.write.mode("overwrite").parquet(path + ".next")
+    spark.read.schema(merged.schema).parquet(path + ".next").write.mode("overwrite").parquet(path)
+
+
+def write_gated(points: DataFrame, path: str, depth: str = "depth") -> None:
+    """write_depth_csv() behind the bathymetry gate: what fails it is not written."""
+    write_depth_csv(require_bathymetry(points, depth), path)
