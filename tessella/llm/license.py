@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,21 +47,28 @@ RULES = (
     ("BSD", " B1 "),
     ("proprietary", " R1 "),
 )
-_IMPLIED = (("Apache-2.0-header", "Apache-2.0"), ("BSD-3-Clause", "BSD"))
+#: (licence, licence that it implies): the implied one is left out beside it.
+IMPLIED = (("Apache-2.0-header", "Apache-2.0"), ("BSD-3-Clause", "BSD"))
 #: A sentence ends at a blank line, at ; ! or ?, and at a period before white space or the end.
 SPLIT = r"\n\s*\n|[;!?]+|[.]+(?=\s|$)"
 
 
-def recognise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: Sequence[tuple[str, str]] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def recognise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: Sequence[tuple[str, str]] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES, implied: Sequence[tuple[str, str]] = IMPLIED) -> DataFrame:
     """Per row: id_col, n_sentences (known ones found), sentence_ids (in order, joined by spaces), licenses (joined by
     commas, in the order of the rules; empty if none).
 
     Null and empty texts have none. A known sentence counts each time it occurs, also within a longer sentence; of those
     that begin at one word the longest counts. Repeated rows are judged one by one; only the id is carried over, so other
-    columns cannot clash; a text's length bounds its memory.
+    columns cannot clash; a text's length bounds its memory. Sentences are normalised like the texts; at least one sentence
+    and one rule are needed, and identifiers are a capital letter and a digit, as the rules' patterns expect.
     """
+    sentences = [(" ".join(regex.findall(r"[\p{L}\p{N}]+", s.lower())), k) for s, k in sentences]
     quoted = "`" + text_col.replace("`", "``") + "`"
-    table = "map(" + ", ".join(f"'{s}', '{k}'" for s, k in sentences) + ")"
+    table = "map(" + ", ".join(f"{_literal(s)}, {_literal(k)}" for s, k in sentences) + ")"
     normal = r"concat(' ', trim(regexp_replace(x, '[^\\p{L}\\p{N}]+', ' ')), ' ')"
     known = "(?<= )(?=(" + "|".join(sorted((s for s, _ in sentences), key=len, reverse=True)) + ") )"
     # A cheap look for two first words spares most texts the rest; it rejects none that holds a sentence of the table.
@@ -69,9 +77,9 @@ def recognise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     split = SPLIT.replace("\\", "\\\\")
     found = f"flatten(transform(split(t, '{split}'), x -> regexp_extract_all({normal}, '{known}', 1)))"
     ids = let(text, "t", f"CASE WHEN t RLIKE '{'|'.join(starts)}' THEN transform({found}, x -> element_at({table}, x)) ELSE CAST(array() AS array<string>) END")
-    drop = " ".join(f"WHEN r = '{b}' THEN NOT array_contains(h, '{a}')" for a, b in _IMPLIED)
-    all_rules = "array(" + ", ".join(f"CASE WHEN i RLIKE '{p}' THEN '{n}' END" for n, p in rules) + ")"
-    hits = let(f"filter({all_rules}, r -> r IS NOT NULL)", "h", f"array_join(filter(h, r -> CASE {drop} ELSE true END), ',')")
+    drop = "".join(f" AND NOT (r = {_literal(b)} AND array_contains(h, {_literal(a)}))" for a, b in implied)
+    all_rules = "array(" + ", ".join(f"CASE WHEN i RLIKE {_literal(p)} THEN {_literal(n)} END" for n, p in rules) + ")"
+    hits = let(f"filter({all_rules}, r -> r IS NOT NULL)", "h", f"array_join(filter(h, r -> true{drop}), ',')")
     found = let(ids, "k", let("concat(' ', array_join(k, '  '), ' ')", "j", let("concat(replace(j, '  ', ' '), '')", "i", f"named_struct('n', CAST(size(k) AS BIGINT), 'ids', trim(i), 'licenses', CASE WHEN size(k) = 0 THEN '' ELSE {hits} END)")))
     got = docs.select(F.col(id_col), F.explode(F.array(F.expr(found))).alias("found"))
     return got.select(id_col, F.col("found.n").alias("n_sentences"), F.col("found.ids").alias("sentence_ids"), F.col("found.licenses").alias("licenses"))
@@ -85,10 +93,13 @@ OP2_SQL = (
     "WITH s(s, k) AS (VALUES "
     + ", ".join(f"('{s}', '{k}')" for s, k in SENTENCES)
     + r"""),
-x AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(coalesce(text, ''), '(\.|:|,)+(\s|$)', chr(10), 'g'), '[\n;!?]+')) AS x,
-             generate_subscripts(string_split_regex(regexp_replace(coalesce(text, ''), '(\.|:|,)+(\s|$)', chr(10), 'g'), '[\n;!?]+'), 1) AS i FROM documents),
-n AS (SELECT doc_id, i, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) AS x FROM x),
-g AS (SELECT doc_id, count(*) AS n_sentences, string_agg(k, ' ' ORDER BY i) AS ids FROM n JOIN s ON n.x = s.s GROUP BY doc_id),
+p AS (SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '\n\s*\n|[;!?]+|[.]+(\s|$)', chr(1), 'g'), chr(1)) AS p FROM documents),
+x AS (SELECT doc_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM p),
+n AS (SELECT doc_id, i, trim(regexp_replace(x, '[^\p{L}\p{N}]+', ' ', 'g')) AS x FROM x),
+h AS (SELECT doc_id, i, s, k, string_split(x, ' ') AS w, len(string_split(s, ' ')) AS n FROM n JOIN s ON contains(' ' || x || ' ', ' ' || s || ' ')),
+o AS (SELECT *, unnest(range(1, len(w) - n + 2)) AS o FROM h),
+f AS (SELECT doc_id, i, o, arg_max(k, n) AS k FROM o WHERE array_to_string(w[o:o + n - 1], ' ') = s GROUP BY doc_id, i, o),
+g AS (SELECT doc_id, count(*) AS n_sentences, string_agg(k, ' ' ORDER BY i, o) AS ids FROM f GROUP BY doc_id),
 l AS (SELECT doc_id, n_sentences, ids, list_filter(["""
     + ", ".join(f"CASE WHEN regexp_matches(' ' || ids || ' ', '{p}') THEN '{n}' END" for n, p in RULES)
     + r"""], lambda r: r IS NOT NULL) AS h FROM g)

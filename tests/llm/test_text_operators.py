@@ -66,7 +66,7 @@ def test_quality_repeats_and_pipeline_filter(awkward):
 def test_pii(spark, awkward, texts):
     r = {x.doc_id: x for x in pii.find(awkward).collect()}
     assert (r[8].n_email, r[8].n_ip, r[8].n_phone, r[8].n_secret) == (1, 1, 1, 1)
-    naive = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": pii._IP.pattern, "card": pii._CARD.pattern, "phone": pii._PHONE.pattern}
+    naive = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     odd = ["a@b@c.d e@f.g.h", "1.2.3.4.5.6.7.8 0300.1.1.1", "4111 1111 1111 1111 4111-1111-1111-1112", "+49 (30) 12345-678 ++1 2 3", "@.@x.y"]
     for t in [*texts.values(), *odd]:
         want = []
