@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _LOWER, _WHITE, mix, powers, slices, string_buffers
+from .common import _LOWER, _WHITE, bound_batches, mix, powers, slices, string_buffers
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: From a digit inside a run of digits no match can begin that its first digit does not begin: each run is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SPACE_SIGNS = str.maketrans("", "", " -().+")
@@ -275,6 +276,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fie
     cannot clash. A worker holds a few megabytes of text at a time, or one longer text.
     """
     field = field or default_field()
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
