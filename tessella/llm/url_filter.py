@@ -93,7 +93,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ho
         return ((F.col("host") == h) | F.col("host").endswith("." + h)) & F.col("path").startswith(p)
 
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for v, h, p in sorted(host_rules, key=lambda r: len(r[1] + r[2]), reverse=False):
+    for v, h, p in sorted(reversed(host_rules), key=lambda r: len(r[1] + r[2])):  # the last that fits stands
         rule, verdict = F.when(fits(h, p), F.lit(h + p)).otherwise(rule), F.when(fits(h, p), F.lit(v)).otherwise(verdict)
 
     machine = GlobMachine(globs)
