@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -46,9 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/tessella-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     """df written as Parquet and read again: lineage ends in files that every executor sees."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -82,12 +84,25 @@ def local_path(path: str) -> str:
 # ---------------------------------------------------------------- tables of a worker
 
 _tables: dict[tuple[str, str], object] = {}
+_last: str | None = None
 
 
 def release(kind: str | None = None) -> None:
-    """Drop the tables that other operators left in this process; workers are used again by later stages."""
+    """Drop the tables that other operators left in this process, and give freed memory back: workers are used again by
+    later stages, beside a heap that leaves them little."""
+    global _last
+    if kind is not None and kind == _last:
+        return
     for key in [k for k in _tables if k[0] != kind]:
         del _tables[key]
+    _powers.clear()
+    _residues.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    _last = kind
 
 
 def table(kind: str, key: str, make: Callable[[str], object]) -> object:
@@ -95,6 +110,7 @@ def table(kind: str, key: str, make: Callable[[str], object]) -> object:
     release(kind)
     if (kind, key) not in _tables:
         _tables[kind, key] = make(key)
+        gc.collect()  # what making it took
     return _tables[kind, key]
 
 
