@@ -12,6 +12,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -29,8 +30,11 @@ BLOCK = 128
 PERCENTILE = 90
 #: A record is closed once it has this many ids; a single longer document is a record of its own.
 RECORD_IDS = 1 << 18
-#: Words whose ids a worker remembers; beyond it the table starts anew, so memory is bounded.
+#: Words, and bytes of words with what the table spends on each, that a worker remembers; beyond either the table starts
+#: anew, so between slices memory is bounded, and within one by the slice's own words.
 REMEMBERED = 1_000_000
+REMEMBERED_BYTES = 160 << 20
+WORD_BYTES = 140
 _HEADER = struct.Struct("<4sIQ")
 _MAGIC = b"PFB1"
 #: The vocabulary's pre-split pattern over lower-case text below U+0180, classes written out, commonest first.
@@ -151,13 +155,28 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
+        self.held = 0
         self.at: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
-    def _learn(self, fresh: list[str]) -> None:
-        if len(self.at) + len(fresh) > REMEMBERED:
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The words' places in the table, which learns those that it lacks; if it begins anew for them, it learns all."""
+        places = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        lacking = np.flatnonzero(places < 0)
+        if not len(lacking):
+            return places
+        fresh = list({words[k] for k in lacking.tolist()})
+        size = sum(map(len, fresh)) + WORD_BYTES * len(fresh)
+        if self.at and (len(self.at) + len(fresh) > REMEMBERED or self.held + size > REMEMBERED_BYTES):
             self._reset()
+            return self._places(words)
+        self.held += size
+        self._learn(fresh)
+        places[lacking] = [self.at[words[k]] for k in lacking.tolist()]
+        return places
+
+    def _learn(self, fresh: list[str]) -> None:
         chunks = [fresh[k : k + 2000] for k in range(0, len(fresh), 2000)]
         got = np.concatenate([np.array(self.library.encode_batch_fast([" ".join(c)], add_special_tokens=False)[0].ids, np.uint32) for c in chunks])
         piece_ends = np.flatnonzero(self.ends_piece[got]) + 1
@@ -173,14 +192,7 @@ class Encoder:
         whole = {k: t for k, t in enumerate(texts) if _needs_library(t)}
         split = [[] if k in whole else t.lower().split() for k, t in enumerate(texts)]
         flat = [w for s in split for w in s]
-        fresh = set(flat).difference(self.at)
-        if fresh:
-            before = len(self.at)
-            self._learn(list(fresh))
-            if len(self.at) <= before:  # the table began anew
-                self._learn(list(set(flat).difference(self.at)))
-        get = self.at.__getitem__
-        known = np.fromiter(map(get, flat), np.int64, len(flat))
+        known = self._places(flat)
         size = np.diff(self.ends)[known] if len(flat) else np.zeros(0, np.int64)
         last = np.cumsum(size)
         ids = self.ids[np.repeat(self.ends[known] - (last - size), size) + np.arange(int(last[-1]) if len(last) else 0)]
