@@ -7,7 +7,8 @@ bits of their hash, so the shards in order are one sorted hash array and a word'
 keyed by both numbers and sharded by a hash of the pair, so a frequent word's pairs spread over all shards. What
 discounting needs of each word (how often it is a history, with how many different successors of count 1, 2, 3 or more,
 and how many different words precede it) is added up the same way, sharded by ranges of word numbers.
-Scoring: workers map the arrays and look a batch's distinct words and pairs up by binary search.
+Scoring: workers map the arrays, a bounded number of files at a time, and look a batch's distinct words and pairs up by
+binary search.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,12 @@ COUNT_BYTES = 16 << 20
 SCORE_BYTES = 4 << 20
 #: Shards for each partition of the input: a shard's arrays stay a few megabytes at any size of the input.
 SHARDS_PER_PARTITION = 6
+#: Files that a process maps at once; the one that was looked at longest ago goes.
+HELD_MAPS = 2048
+#: A pair's key holds two numbers of words of 32 bits each.
+MOST_WORDS = 1 << 32
+#: Counts up to this one are stored in 32 bits; larger ones in a list beside them.
+_LARGE = np.uint64((1 << 32) - 1)
 _END = np.uint64(0x5D1A7E5E9D0F3B21)
 _ONE = np.uint64(1)
 
@@ -83,14 +91,49 @@ def _save(folder: str, name: str, arrays: list[np.ndarray]) -> None:
     os.replace(part, f"{folder}/{name}")
 
 
-def _map(path: str, n: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    if not n:
-        return [np.zeros(0, k) for k in kinds]
-    out, at = [], 0
-    for k in kinds:
-        out.append(np.memmap(path, k, "r", at, (n,)))
-        at += n * np.dtype(k).itemsize
-    return out
+def pair_arrays(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """What a file of pairs holds: the number of keys and of large counts, keys, large counts' places and values, counts."""
+    large = np.flatnonzero(counts >= _LARGE)
+    return [np.array([len(keys), len(large)], "<u8"), keys.astype("<u8"), large.astype("<u8"), counts[large].astype("<u8"), np.minimum(counts, _LARGE).astype("<u4")]
+
+
+class Pairs:
+    """A mapped file of pairs."""
+
+    def __init__(self, raw: np.ndarray):
+        n, m = raw[:16].view("<u8").tolist() if len(raw) else (0, 0)
+        at = np.cumsum([16, 8 * n, 8 * m, 8 * m]).tolist()
+        self.keys, self.place, self.large = (raw[s:e].view("<u8") for s, e in zip(at, at[1:], strict=False))
+        self.counts = raw[at[-1] : at[-1] + 4 * n].view("<u4")
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), np.int64)
+        if len(self.keys):
+            where = np.searchsorted(self.keys, keys)
+            where[where == len(self.keys)] = 0
+            found = self.keys[where] == keys
+            out[found] = self.counts[where[found]]
+            for k in np.flatnonzero(out == int(_LARGE)):
+                out[k] = self.large[np.searchsorted(self.place, where[k])]
+        return out
+
+
+class _Maps:
+    """Files of a folder as arrays of bytes, a bounded number mapped at a time; an absent file is empty."""
+
+    def __init__(self, folder: str):
+        self.folder, self.held = folder, OrderedDict()
+
+    def get(self, name: str) -> np.ndarray:
+        got = self.held.get(name)
+        if got is None:
+            path = f"{self.folder}/{name}"
+            got = self.held[name] = np.memmap(path, np.uint8, "r") if os.path.exists(path) and os.path.getsize(path) else np.zeros(0, np.uint8)
+            if len(self.held) > HELD_MAPS:
+                self.held.popitem(last=False)
+        else:
+            self.held.move_to_end(name)
+        return got
 
 
 def _sharded(batches: Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
@@ -125,40 +168,31 @@ def _by_shard(pieces: DataFrame, shards: int, columns: int, finish, schema: str)
 
 @dataclass
 class Model:
-    folder: str
-    word_counts: list[int]  # words of each word shard
-    pair_counts: list[int]
+    folder: str  # files words/, pairs/ and stats/ by shard, and starts, the first word's number of each shard
+    shards: int
+    size: int  # different words
     total: int
     discounts: list[float]  # of pair counts 1, 2, 3 and more
     lower_discounts: list[float]  # of the number of preceding words
     lower_total: int
     lower_kept: float  # what discounting the unigrams leaves for all words alike
 
-    @property
-    def size(self) -> int:
-        return sum(self.word_counts)
-
 
 class _Lookup:
     """The mapped arrays of a model, in one process."""
 
-    def __init__(self, model: Model, with_pairs: bool = True):
-        self.model = model
-        self.starts = np.concatenate([[0], np.cumsum(model.word_counts)]).astype(np.int64)
-        self.shards = len(model.word_counts)
+    def __init__(self, model: Model):
+        self.model, self.shards = model, model.shards
+        self.starts = np.fromfile(f"{model.folder}/starts", "<i8")
         self.bits = np.uint64(64 - self.shards.bit_length() + 1)
-        self.word_maps: dict[int, list[np.ndarray]] = {}
-        self.pair_maps: dict[int, list[np.ndarray]] = {}
-        self.stat_maps: dict[int, np.ndarray] = {}
+        self.maps = _Maps(model.folder)
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers (-1: unknown) and counts of sorted distinct hashes."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         at = np.searchsorted(hashes >> self.bits, np.arange(self.shards + 1, dtype=np.uint64))
         for k in np.flatnonzero(np.diff(at)):
-            if k not in self.word_maps:
-                self.word_maps[k] = _map(f"{self.model.folder}/words/{k}", self.model.word_counts[k], ("<u8", "<u8"))
-            keys, c = self.word_maps[k]
+            keys, c = self.maps.get(f"words/{k}").view("<u8").reshape(2, -1)
             some = hashes[at[k] : at[k + 1]]
             where = np.searchsorted(keys, some)
             where[where == len(keys)] = 0
@@ -172,28 +206,22 @@ class _Lookup:
         out = np.zeros((len(ids), 5), np.int64)
         at = np.searchsorted(ids, self.starts)
         for k in np.flatnonzero(np.diff(at)):
-            if k not in self.stat_maps:
-                self.stat_maps[k] = _map(f"{self.model.folder}/stats/{k}", 5 * self.model.word_counts[k], ("<i8",))[0].reshape(-1, 5)
-            out[at[k] : at[k + 1]] = self.stat_maps[k][ids[at[k] : at[k + 1]] - self.starts[k]]
+            some = ids[at[k] : at[k + 1]] - self.starts[k]
+            table = self.maps.get(f"stats/{k}").view("<i8").reshape(-1, 5)
+            if len(table):  # a shard whose words are in no pair has no file
+                out[at[k] : at[k + 1]] = table[some]
         return out
 
     def pair_count(self, keys: np.ndarray) -> np.ndarray:
         """Counts of distinct pair keys, in any order."""
-        shards = len(self.model.pair_counts)
+        shards = self.shards
         shard = pair_shard(keys, shards)
         order = np.lexsort((keys, shard))
         out = np.zeros(len(keys), np.int64)
         at = np.searchsorted(shard[order], np.arange(shards + 1))
         for k in np.flatnonzero(np.diff(at)):
-            if k not in self.pair_maps:
-                self.pair_maps[k] = _map(f"{self.model.folder}/pairs/{k}", self.model.pair_counts[k], ("<u8", "<u4"))
-            have, c = self.pair_maps[k]
             some = order[at[k] : at[k + 1]]
-            where = np.searchsorted(have, keys[some])
-            where[where == len(have)] = 0
-            if len(have):
-                found = have[where] == keys[some]
-                out[some[found]] = c[where[found]]
+            out[some] = Pairs(self.maps.get(f"pairs/{k}")).count(keys[some])
         return out
 
 
@@ -268,7 +296,12 @@ def fit(texts: DataFrame, *, text_col: str = "text", folder: str | None = None)
     word_counts, total = [0] * shards, 0
     for r in got:
         word_counts[r[0]], total = r[1], total + r[2]
-    model = Model(folder, word_counts, [0] * shards, total, [], [], 0, 0.0)
+    if sum(word_counts) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} different words")
+    starts = np.concatenate([[0], np.cumsum(word_counts)]).astype("<i8")
+    _save(folder, "starts", [starts])
+    model = Model(folder, shards, int(starts[-1]), total, [], [], 0, 0.0)
+    del word_counts, got, starts  # tasks read them from the folder
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = lookup(model)
@@ -284,17 +317,15 @@ def fit(texts: DataFrame, *, text_col: str = "text", folder: str | None = None)
 
         return _sharded(parts())
 
-    starts = np.concatenate([[0], np.cumsum(word_counts)]).astype(np.int64)
-
     def write_pairs(shard: int, keys: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         c = columns[0]
-        _save(f"{folder}/pairs", str(shard), [keys.astype("<u8"), np.minimum(c, (1 << 32) - 1).astype("<u4")])
+        _save(f"{folder}/pairs", str(shard), pair_arrays(keys, c))
         counts = [int((c == k).sum()) for k in (1, 2, 3, 4)]
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((shard, None, len(keys), *counts), (pa.int32(), pa.binary(), *[pa.int64()] * 5), strict=True)], names=names)
         left, right = (keys >> np.uint64(32)), keys & np.uint64(0xFFFFFFFF)
         zero = np.zeros(len(keys), np.uint64)
         ids, sums = _added_up(np.concatenate([left, right]), [np.concatenate(x) for x in ((c, zero), ((c == 1).astype(np.uint64), zero), ((c == 2).astype(np.uint64), zero), ((c > 2).astype(np.uint64), zero), (zero, zero + _ONE))])
-        home = np.searchsorted(starts, ids.astype(np.int64), "right") - 1
+        home = np.searchsorted(lookup(model).starts, ids.astype(np.int64), "right") - 1
         for b in _sharded(iter([(home, ids, sums)])):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.nulls(b.num_rows, pa.int64())] * 5], names=names)
 
@@ -303,23 +334,21 @@ def fit(texts: DataFrame, *, text_col: str = "text", folder: str | None = None)
     path = f"{folder}/history"
     counted.write.mode("overwrite").parquet("file://" + path)
     counted = spark.read.schema(counted.schema).parquet("file://" + path)
-    counts = [0] * 4
-    for r in counted.where("n IS NOT NULL").select("shard", "n", "n1", "n2", "n3", "n4").collect():
-        model.pair_counts[r[0]] = r[1]
-        counts = [a + b for a, b in zip(counts, r[2:], strict=True)]
+    counts = [x or 0 for x in counted.where("n IS NOT NULL").agg(*(F.sum(f"n{k}") for k in (1, 2, 3, 4))).first()]
     model.discounts = discounts_of(counts)
 
     def write_stats(shard: int, ids: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((word_counts[shard], 5), "<i8")
+        starts = lookup(model).starts
+        table = np.zeros((int(starts[shard + 1] - starts[shard]), 5), "<i8")
         table[ids.astype(np.int64) - starts[shard]] = np.stack(columns, axis=1)
         _save(f"{folder}/stats", str(shard), [table])
         before = table[:, 4]
         values = [shard, int(before.sum()), *(int((before == k).sum()) for k in (1, 2, 3, 4)), int((before > 2).sum())]
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in values], names=["shard", "total", "n1", "n2", "n3", "n4", "more"])
 
-    rows = _by_shard(counted.where("piece IS NOT NULL").select("shard", "piece"), shards, 5, write_stats, "shard long, total long, n1 long, n2 long, n3 long, n4 long, more long").collect()
+    rows = _by_shard(counted.where("piece IS NOT NULL").select("shard", "piece"), shards, 5, write_stats, "shard long, total long, n1 long, n2 long, n3 long, n4 long, more long").agg(*(F.sum(c) for c in ("total", "n1", "n2", "n3", "n4", "more"))).first()
     remove(spark, "file://" + path)
-    sums = [sum(r[k] for r in rows) for k in range(1, 7)]
+    sums = [x or 0 for x in rows]
     model.lower_total, model.lower_discounts = sums[0], discounts_of(sums[1:5])
     d = model.lower_discounts
     model.lower_kept = (d[0] * sums[1] + d[1] * sums[2] + d[2] * sums[5]) / sums[0] if sums[0] else 1.0
@@ -343,8 +372,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """Per row: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     base_score is the add-one unigram log10 probability, score the model's. A null or empty text is its end token.
-    Repeated rows are scored one by one; only the id is carried over, so other columns cannot clash. Without training
-    tokens every word is as likely as every other.
+    Repeated rows are scored one by one; only the id is carried over, so other columns cannot clash; an empty table gives
+    an empty one. Without training tokens every word is as likely as every other.
     """
     slim = docs.select(F.col(id_col).alias("id"), (held_out if held_out is not None else F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
