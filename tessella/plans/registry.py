@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import cell_floor, depth, grid_of, lat_offset, round_to, to_geographic, to_grid
-from ..operators import audit, cells, mask, quality, raster, spatial, surface, thin, zones
+from ..operators import audit, cells, mask, packing, quality, raster, spatial, surface, thin, zones
 from . import surrogates as S
 
 QUERIES: dict = {}
@@ -747,3 +747,14 @@ def zone_features(spark: SparkSession, d: str) -> DataFrame:
     r = S.table(spark, d, "customer").select(k.cast("int").alias("fseq"), record.alias("record"), F.array(ring).alias("rings"))
     f = zones.features(r, "plan", "source")
     return f.select("fseq", "name", "zt", "notake", F.round(F.col("rings")[0][0]["x"] * 1e5).cast("long").alias("x_e5"), F.size(F.col("rings")[0]).alias("n_vertices"))
+
+
+@query(
+    "WITH "
+    + S.DEPTHS
+    + """, w AS (SELECT row_id % 7 AS part, row_id, round(x * 100)::BIGINT AS x, round(y * 100)::BIGINT AS y, round(depth * 100)::BIGINT AS depth FROM depths)
+SELECT part, '{"x":[' || string_agg(x, ',' ORDER BY row_id) || '],"y":[' || string_agg(y, ',' ORDER BY row_id) || '],"depth":[' || string_agg(depth, ',' ORDER BY row_id) || ']}' AS json FROM w GROUP BY part"""
+)
+def packed_integer_columns(spark: SparkSession, d: str) -> DataFrame:
+    p = S.depths(spark, d).withColumn("part", F.col("row_id") % 7)
+    return packing.integer_json(packing.columnar(p, "part", "row_id", (("x", 100), ("y", 100), ("depth", 100))), "part")

@@ -106,3 +106,38 @@ def append_results(spark: SparkSession, path: str, new: DataFrame, key: str = "n
 def write_gated(points: DataFrame, path: str, depth: str = "depth") -> None:
     """write_depth_csv() behind the bathymetry gate: what fails it is not written."""
     write_depth_csv(require_bathymetry(points, depth), path)
+
+
+def save_version(rows: DataFrame, path: str) -> int:
+    """Keep rows as the next version of the table at path; earlier versions stay. One writer at a time."""
+    known = versions(rows.sparkSession, path)
+    n = (known[-1] if known else 0) + 1
+    rows.write.mode("errorifexists").parquet(f"{path}/version={n}")
+    return n
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions at path, oldest first: Spark marks a table that was written to its end."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = fs_path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(top)]
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and fs.exists(fs_path(f"{path}/{n}/_SUCCESS")))
+
+
+def version(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
+    """A version's rows, by default the last."""
+    known = versions(spark, path)
+    if not known or n is not None and n not in known:
+        raise ValueError(f"no version {n or ''} at {path}")
+    return spark.read.parquet(f"{path}/version={n or known[-1]}")
+
+
+def undo(spark: SparkSession, path: str) -> int:
+    """Make the version before the last the newest again, as a new version; the undone one stays too."""
+    known = versions(spark, path)
+    if len(known) < 2:
+        raise ValueError("nothing to undo")
+    return save_version(version(spark, path, known[-2]), path)

@@ -243,6 +243,18 @@ def test_backup_before_append_and_gated_sink(spark, tmp_path):
     assert files.depth_csv(spark, str(tmp_path / "csv")).count() == 3
 
 
+def test_versions_and_undo(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
+    assert files.versions(spark, path) == []
+    assert [files.save_version(rows(1), path), files.save_version(rows(1, 2), path)] == [1, 2]
+    (tmp_path / "t" / "version=9").mkdir()  # not written to its end
+    assert files.undo(spark, path) == 3 and [r.k for r in files.version(spark, path).collect()] == [1]
+    assert files.version(spark, path, 2).count() == 2 and files.versions(spark, path) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        files.version(spark, path, 9)
+
+
 def test_requests_and_retries():
     box = (-25.0, 152.0, -24.75, 152.25)
     q = acquire.water_query(box)

@@ -1,14 +1,17 @@
 """Hand-computed cases; expected values do not come from the engine."""
 
 import hashlib
+import itertools
 import math
+import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import columns as C
 from tessella.functions.columns import geographic_of, grid_of
-from tessella.operators import audit, cells, mask, quality, raster, spatial, surface, thin
+from tessella.operators import audit, cells, mask, packing, quality, raster, spatial, surface, thin
 from tessella.sources import files
 from tessella.streaming import ingest
 
@@ -179,6 +182,35 @@ def test_interpolation(spark):
     assert deep == {2: (3.0, 10.0, 0.0)}
 
 
+def test_surface_and_contours(spark):
+    s = spark.createDataFrame([(float(x), float(y), float(x)) for x in range(0, 41, 10) for y in range(0, 31, 10)], "x double, y double, depth double")
+    grid = surface.surface(s, (0.0, 0.0, 40.0, 30.0), cells=4, reach=5.0)
+    assert {(r.row, r.col): r.depth for r in grid.collect()} == {(i, j): 10.0 * j for i in range(4) for j in range(5)}
+    lines = surface.contours(grid, 15.0)
+    assert sorted((r.level, r.row, r.x1, r.x2) for r in lines.collect()) == [(level, row, level, level) for level in (15.0, 30.0) for row in range(3)]
+    saddle = spark.createDataFrame([(0, 0, 0.0, 0.0, 1.0), (0, 1, 1.0, 0.0, 0.0), (1, 0, 0.0, 1.0, 0.0), (1, 1, 1.0, 1.0, 1.0), (0, 2, 2.0, 0.0, None), (1, 2, 2.0, 1.0, 1.0)], "row int, col int, x double, y double, depth double")
+    assert len(surface.contours(saddle, 0.5).where("level = 0.5").collect()) == 2
+
+
+def test_packings(spark):
+    rows = [("a", 2, -26.5, 153.0, 1.25), ("a", 1, -26.500001, 153.25, -0.75), ("a", 3, -26.5, 153.0, 100.0), ("b", 1, 0.0, 0.0, 0.0)]
+    c = packing.columnar(spark.createDataFrame(rows, "g string, k int, lat double, lng double, depth double"), "g", "k")
+    got = {r.g: (r.n, r.lat, r.lng, r.depth) for r in c.collect()}
+    assert got["a"] == (3, [-26500001, -26500000, -26500000], [153250000, 153000000, 153000000], [-75, 125, 10000])
+    assert {r.g: r.json for r in packing.integer_json(c, "g").collect()}["b"] == '{"lat":[0],"lng":[0],"depth":[0]}'
+    raw = {r.g: bytes(r.packed) for r in packing.fixed(c, "g").collect()}["a"]
+    assert struct.unpack("<3i3i3h", raw) == (*got["a"][1], *got["a"][2], *got["a"][3])
+    with pytest.raises(Exception, match="does not fit"):
+        packing.fixed(c, "g", (4, 4, 1)).collect()
+    d = packing.numbers_of({r.g: bytes(r.packed) for r in packing.delta_varints(c, "g").collect()}["a"])
+    assert [list(itertools.accumulate(d[k : k + 3])) for k in (0, 3, 6)] == list(got["a"][1:])
+    near = {r.g: r for r in packing.relative(c, "g").collect()}["a"]
+    x = np.frombuffer(bytes(near.packed), "<u2").reshape(3, 3)
+    for k in range(3):
+        back = near.low[k] + x[k] * max(1, near.high[k] - near.low[k]) / 65535
+        assert np.abs(back - got["a"][k + 1]).max() <= max(1, near.high[k] - near.low[k]) / 65535
+
+
 def test_thin_to_cap(spark):
     p = spark.createDataFrame([(k, float(k % 10 * 10), float(k // 10 * 10), float(k % 7 - 3)) for k in range(100)], "row_id int, x double, y double, depth double")
     assert thin.thin_to_cap(p, "depth", "row_id", cap=100, size=5.0).count() == 100
