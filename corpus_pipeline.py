@@ -3,46 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessella.llm import bpe, decontaminate, line_dedup, near_dup, quality
-from tessella.llm.common import shared_dir, stored
+from tessella.llm.common import remove_but, shared_dir, stored
 
-#: Ids that are broadcast at most, by count; beyond it a join shuffles.
-BROADCAST_IDS = 1 << 20
+#: Bytes of a worker's table of words and of a slice in the last stage: less than a lone query takes, as the heaps that the
+#: stages before it have grown stand beside.
+WORD_BYTES = 40 << 20
+SLICE_BYTES = 1 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects: each row by its own text, whatever its id; null and empty texts go."""
     return quality.keep_good(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that their classes keep elsewhere; documents left without a word go."""
+    """Texts without the lines that their classes keep elsewhere, by rows (id, null or not, and text); rows that lose all
+    their words go, rows that had none stay."""
     return line_dedup.without_repeated_lines(docs)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but for the ids (one column, gone); rows that share an id go together."""
-    ids = stored(ids.distinct(), f"{shared_dir(docs.sparkSession)}/gone")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
-
-
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: sets of five-word shingles of similarity 0.8 or more."""
-    return _without(docs, near_dup.similar_sets(docs).where("NOT kept").select(F.col("doc_id").alias("gone")))
+    """One row of each group of near-duplicates, sets of five-word shingles of similarity 0.8 or more: the first by id (nulls
+    last), then text; of equal rows one. Texts without words are all left."""
+    return near_dup.without_near_duplicates(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, each row by its own text; items without words match nothing."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
-    return bpe.round_trip(docs)
+    """Token counts and digests of what is left, rows of one id or of none as rows of their own; a text without words is
+    encoded like any other."""
+    return bpe.round_trip(docs, remembered=WORD_BYTES, learnt=SLICE_BYTES)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup_stage), ("near_dedup", near_dedup), ("decontaminate", decontaminate_stage), ("bpe", bpe_round_trip)]
@@ -51,10 +47,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's rows written and read again."""
+    """All stages over documents, each stage's rows written and read again; a stage's rows go once the next has written."""
     docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_dir(spark)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stored(docs, f"{path}/{k}-{name}")
+            remove_but(spark, path, f"{k}-{name}")
     return docs

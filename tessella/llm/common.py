@@ -72,6 +72,15 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def remove_but(spark: SparkSession, path: str, *names: str) -> None:
+    """Remove a folder's members but for the names: the tables that nothing needs any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for s in fs.listStatus(at):
+        if s.getPath().getName() not in names:
+            fs.delete(s.getPath(), True)
+
+
 def local_path(path: str) -> str:
     """The path that a process opens for a shared folder; only mounted folders can be memory-mapped."""
     if "://" not in path and not path.startswith("file:"):

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_key, shared_dir, stored
+from .common import remove_but, row_key, shared_dir, stored
 from .quality import let
 
 WIDTH = 5
@@ -113,6 +113,7 @@ def _scored(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, i
     close = probes.join(_small(index, index.count()), ["m", "block", "value"]).where(F.bit_count(F.col("wf").bitwiseXOR(F.col("f"))) <= radius)
     close = close.groupBy("id").agg(F.collect_set(F.struct("row", "m", "k", "o")).alias("x"))
     close = stored(close, f"{path}/close")
+    remove_but(spark, path, "items", "close")
 
     # The exact similarity of what is close.
     made = f"transform(x, y -> struct(y.row AS row, y.o AS o, {shingles_at('y.o', 'y.m', 'y.k')} AS ws))"

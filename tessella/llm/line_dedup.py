@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, components, mix, powers, release, shared_dir, slices, stored, string_buffers
+from .common import bound_batches, components, mix, powers, release, remove_but, shared_dir, slices, stored, string_buffers
 
 EDITS = 2
 #: Shorter lines recur rightly ("Yes.", a heading): removal leaves them alone.
@@ -46,7 +46,7 @@ STAR_ROUNDS = 2
 BROADCAST_IDS = 1 << 20
 SHARDS_PER_PARTITION = 6
 #: Bytes of lines whose keys are made and packed at once.
-KEY_BYTES = 2 << 20
+KEY_BYTES = 1 << 20
 _ONE = np.uint64(1)
 _MARK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ENTRY = np.dtype([("line", "<u8"), ("key", "<u4"), ("sign", "<u4"), ("role", "u1")])
@@ -239,7 +239,7 @@ def distinct_lines(slim: DataFrame, least: int, bodies_from: int, path: str) ->
     """(lid, h, first, n, body): each distinct line, numbered, with its first place and how often it occurs."""
     every = lines_of(slim, least, bodies_from)
     found = every.groupBy("h").agg(F.min(F.struct("id", "copy", "line")).alias("first"), F.count("*").alias("n"), F.first("body", ignorenulls=True).alias("body"))
-    return stored(found.withColumn("lid", F.monotonically_increasing_id()), path)
+    return stored(found.withColumn("lid", F.monotonically_increasing_id()), path, "gzip")  # about as large as the input
 
 
 def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -364,6 +364,7 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int, path: str) -> DataF
     both = pairs.join(found.select(F.col("lid").alias("a"), F.col("body").alias("x")), "a").join(found.select(F.col("lid").alias("b"), F.col("body").alias("y")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             x, y = ([t.decode() for t in b.column(c).to_pylist()] for c in ("x", "y"))
             segs = b.column("seg").to_pylist()
@@ -431,7 +432,8 @@ def in_blocks(entries: DataFrame, lines: DataFrame, edits: int, count: bool, pat
             links += [(int(line[k]), None, int(degree[k])) for k in np.flatnonzero(degree)]
         return pd.DataFrame({"a": pd.array([x[0] for x in links], "Int64"), "b": pd.array([x[1] for x in links], "Int64"), "n": pd.array([x[2] for x in links], "Int64")})
 
-    return dealt.groupBy("k", "i", "j").applyInPandas(compare, "a long, b long, n long")
+    # Dealt by key alone, as the join leaves them, all blocks of a key would be one task's.
+    return dealt.repartition("k", "i", "j").groupBy("k", "i", "j").applyInPandas(compare, "a long, b long, n long")
 
 
 def linked(lines: DataFrame, edits: int, count: bool, path: str) -> tuple[DataFrame, DataFrame | None]:
@@ -482,6 +484,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int
     # Lines that occur once and have no link are their own class.
     known = lines.where("n > 1").select("h", "first").join(some, "h", "full").select("h", F.coalesce("best", "first").alias("first"), "n_links")
     known = stored(known, f"{path}/known")
+    remove_but(spark, path, "known")
     out = lines_of(slim, least).join(known, "h", "left")
     out = out.withColumn("first", F.coalesce("first", F.struct("id", "copy", "line")))
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("copy") == F.col("first.copy")) & (F.col("line") == F.col("first.line"))
@@ -522,7 +525,8 @@ def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
         return pd.Series([one(t, g) for t, g in zip(text, lines, strict=True)], dtype=object)
 
-    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(left_of(F.col(text_col).cast("string"), F.col("__lines")))
+    # Else the filter would run it again, in further workers.
+    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(left_of.asNondeterministic()(F.col(text_col).cast("string"), F.col("__lines")))
     new = joined.withColumn(text_col, text).where(F.col("__lines").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.col("__lines").isNull(), F.col("n_chars")).otherwise(F.length(text_col)).cast(docs.schema["n_chars"].dataType))
@@ -530,4 +534,24 @@ def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), least=1)
+    return line_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), least=1).drop("copy")
+
+
+#: One-byte letters for the letters of a pair of lines: the edit distance there counts bytes.
+_LETTERS = "".join(map(chr, range(35, 127))).replace("'", "")
+OP1_SQL = rf"""
+WITH RECURSIVE t AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, unnest(range(0, len(l)))::INT AS line, unnest(l) AS x FROM t),
+a AS (SELECT doc_id, line, x FROM u WHERE x <> ''),
+f AS (SELECT x, length(x) AS n, min(ROW(doc_id, line)) AS first, row_number() OVER (ORDER BY x) AS k, list_transform(range(0, 8), lambda c: len(list_filter(string_split(x, ''), lambda y: unicode(y) % 8 = c))) AS v FROM a GROUP BY x),
+p AS (SELECT f.k AS a, g.k AS b, f.x, g.x AS y, list_distinct(string_split(f.x || g.x, '')) AS cs FROM f JOIN f g ON f.k < g.k AND f.n >= 10 AND g.n >= 10 AND abs(f.n - g.n) <= 2
+  WHERE abs(f.v[1] - g.v[1]) + abs(f.v[2] - g.v[2]) + abs(f.v[3] - g.v[3]) + abs(f.v[4] - g.v[4]) + abs(f.v[5] - g.v[5]) + abs(f.v[6] - g.v[6]) + abs(f.v[7] - g.v[7]) + abs(f.v[8] - g.v[8]) <= 4),
+e AS (SELECT a, b FROM p WHERE levenshtein(translate(x, array_to_string(cs, ''), substr('{_LETTERS}', 1, len(cs))), translate(y, array_to_string(cs, ''), substr('{_LETTERS}', 1, len(cs)))) <= 2),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(k, root) AS (SELECT k, k FROM f UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.k),
+m AS (SELECT k, min(root) AS root FROM r GROUP BY k),
+c AS (SELECT root, min(first) AS first FROM m JOIN f USING (k) GROUP BY root),
+n AS (SELECT a AS k, count(*) AS n FROM l GROUP BY a)
+SELECT doc_id, line, c.first[1] AS class_id, c.first[2] AS class_line, coalesce(n.n, 0)::BIGINT AS n_links, ROW(doc_id, line) = c.first AS kept
+FROM a JOIN f USING (x) JOIN m USING (k) JOIN c USING (root) LEFT JOIN n USING (k)
+"""

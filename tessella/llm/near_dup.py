@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, components, distinct_sets, mix, release, remove, shared_dir, shingles, slices, stored, string_buffers, words
+from .common import bound_batches, components, distinct_sets, mix, release, remove, remove_but, row_key, shared_dir, shingles, slices, stored, string_buffers, words
 
 FUNCTIONS = 128
 RECALL = 0.9999
@@ -29,12 +30,15 @@ RECALL = 0.9999
 FIRST_DEPTH = 2
 #: Deepest node; sets that still share large nodes there are compared exhaustively, block by block.
 LAST_DEPTH = 4
-#: Sets of a block.
+#: Sets and bytes of text of a block, about.
 BLOCK_SETS = 1024
+BLOCK_BYTES = 4 << 20
 #: Sets whose paths are followed at once.
 PATH_SETS = 200
 #: A node with at most this many sets is compared exhaustively.
 SMALL_NODE = 24
+#: Trees whose nodes are gathered at once.
+TREES_AT_ONCE = 13
 #: Trees of each round that compares a node's sets with one of them only.
 STAR_TREES = 5
 STAR_ROUNDS = 3
@@ -49,7 +53,7 @@ def _family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return x[:n], x[n:] | np.uint64(1)
 
 
-def trees_for(recall: float = RECALL, depth: int = FIRST_DEPTH) -> int:
+def trees_for(recall: float = RECALL, depth: int = LAST_DEPTH) -> int:
     """Trees so that a pair just at the threshold shares a node at the depth with the probability recall."""
     lost = 0.0
     for _ in range(depth):
@@ -58,7 +62,7 @@ def trees_for(recall: float = RECALL, depth: int = FIRST_DEPTH) -> int:
 
 
 def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, copy (hash of the text), n (size of its set), cid (hash of the set), minwise (tokens, 4 bytes each), k1 to k4 (sketch: two bits of each token)."""
+    """Per row: id, copy (hash of the text), n (size of its set), h1 and h2 (hashes of the set), minwise (tokens, 4 bytes each), k1 to k4 (sketch: two bits of each token)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("copy"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,20 +74,22 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                 values, n = distinct_sets(*shingles(*words(data, at[i : j + 1]), width))
                 some = np.flatnonzero(n)
                 first = (np.cumsum(n) - n)[some]
-                cid = np.zeros(j - i, np.uint64)
+                h = np.zeros((2, j - i), np.uint64)
                 tokens = np.zeros((j - i, FUNCTIONS), np.uint32)
                 if len(some):
-                    cid[some] = mix(np.add.reduceat(mix(values ^ xors[0]), first) + n[some].astype(np.uint64))
+                    for k in range(2):
+                        h[k, some] = mix(np.add.reduceat(mix(values ^ xors[k]), first) + n[some].astype(np.uint64))
                     for k in range(FUNCTIONS):
                         least = np.minimum.reduceat((values ^ xors[k]) * factors[k], first)
                         tokens[some, k] = (mix(least) >> np.uint64(32)).astype(np.uint32)
                 two = (tokens & np.uint32(3)).astype(np.uint64) << (np.arange(FUNCTIONS, dtype=np.uint64) % np.uint64(32) * np.uint64(2))
                 sketch = [np.bitwise_or.reduce(two[:, k : k + 32], axis=1) for k in range(0, FUNCTIONS, 32)]
                 raw = [tokens[k].tobytes() if n[k] else None for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "copy")), pa.array(n.astype(np.int64)), pa.array(cid.view(np.int64)), pa.array(raw, pa.binary()), *(pa.array(k.view(np.int64)) for k in sketch)], names=["id", "copy", "n", "cid", "minwise", *SKETCH])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "copy")), pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in h), pa.array(raw, pa.binary()), *(pa.array(k.view(np.int64)) for k in sketch)], names=names)
 
-    kinds = (slim.schema["id"].dataType, T.LongType(), T.LongType(), T.LongType(), T.BinaryType(), *[T.LongType()] * len(SKETCH))
-    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(("id", "copy", "n", "cid", "minwise", *SKETCH), kinds, strict=True)]))
+    names = ["id", "copy", "n", "h1", "h2", "minwise", *SKETCH]
+    kinds = (slim.schema["id"].dataType, *[T.LongType()] * 4, T.BinaryType(), *[T.LongType()] * len(SKETCH))
+    return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(names, kinds, strict=True)]))
 
 
 _ENTRY = "node long, cid long"
@@ -109,6 +115,7 @@ def entries(reps: DataFrame, trees: range, share: float) -> DataFrame:
     """The nodes at FIRST_DEPTH that each set of reps (cid, minwise) belongs to, in the trees given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             for i in range(0, b.num_rows, PATH_SETS):
                 part = b.slice(i, PATH_SETS)
@@ -127,6 +134,7 @@ def branches(large: DataFrame, share: float) -> DataFrame:
     """The children of large nodes (node, cid, minwise)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             for i in range(0, b.num_rows, PATH_SETS):
                 part = b.slice(i, PATH_SETS)
@@ -156,15 +164,16 @@ def _alike(percent: int, x: str, y: str):
     return (100 * n >= percent * m) & (100 * m >= percent * n) & (_agreement(x, y) >= _least(percent))
 
 
-def in_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def in_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, path: str) -> DataFrame:
     """Links (a, b) that join the components of each group's members (grp, cid, root, n, sketch).
 
-    A group is dealt into blocks, and every two blocks meet in one task of at most twice a block's sets, whatever the
-    group's size. There, pairs of sets in one component, by then, are passed over; the rest of those that sizes and
+    A group is dealt into blocks of bounded sets and bytes, and every two blocks meet in one task, whatever the group's
+    size. There, pairs of sets in one component, by then, are passed over; the rest of those that sizes and
     sketches allow are confirmed on their full sets.
     """
-    sizes = members.groupBy("grp").agg((F.count("*") / BLOCK_SETS).cast("int").alias("last"))
-    dealt = members.join(sizes, "grp").join(texts, "cid").withColumn("at", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
+    whole = stored(members.join(texts, "cid"), path)
+    sizes = whole.groupBy("grp").agg(F.greatest(F.count("*") / BLOCK_SETS, F.sum(F.octet_length("text")) / BLOCK_BYTES).cast("int").alias("last"))
+    dealt = whole.join(sizes, "grp").withColumn("at", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
     dealt = dealt.select("grp", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "cid", "root", "n", "text", *SKETCH)
     least, popcount = _least(percent), np.bitwise_count
@@ -204,12 +213,13 @@ def in_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int) ->
                         links.append((cid[x], cid[y]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("grp", "i", "j").applyInPandas(compare, "a long, b long")
+    # Dealt by group alone, as the join leaves them, all blocks of a group would be one task's.
+    return dealt.repartition("grp", "i", "j").groupBy("grp", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def texts_of(need: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
     """(cid, text) of the sets in need, by id (null too) and text hash; these are broadcast where they are few enough, by count."""
-    who = stored(reps.select("cid", F.col("id").alias("who"), F.col("copy").alias("whose")).join(need, "cid"), path)
+    who = stored(reps.select("cid", F.col("holder.id").alias("who"), F.col("holder.copy").alias("whose")).join(need, "cid"), path)
     if who.count() <= BROADCAST_IDS:
         who = F.broadcast(who)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -222,6 +232,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, pe
     both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("cid").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             (dx, ox), (dy, oy) = string_buffers(batch.column("x")), string_buffers(batch.column("y"))
             for i, j in slices(ox + oy):
@@ -239,25 +250,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, pe
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
-    """Per row: id_col, n_shingles, component_id, kept.
-
-    Rows whose sets of `width`-word shingles have 100 x intersection >= percent x union are linked; component_id is the
-    smallest id that links reach. A text with fewer words is one shingle; a null or empty text has none and links with
-    nothing. Rows with equal sets are one class from the start and links are sought between classes, so copies cost one
-    comparison. Repeated ids are rows of their own. A null id takes part, but is never the smallest. An empty table
-    gives an empty one. Only the id and the text are read, so other columns cannot clash. A pair just at the threshold
-    is found with probability `recall`; a more similar one is missed still more rarely.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, recall: float) -> DataFrame:
+    """Per row: id, copy, n, component and the component's leader, its first row (null_id, id, copy); null where n is 0."""
     spark = docs.sparkSession
     bound_batches(spark)
     path = shared_dir(spark)
     share = 1 / (percent / 100 * FUNCTIONS)
     trees = trees_for(recall)
     rows = stored(sets(docs, width, id_col, text_col), f"{path}/sets")
-    classes = stored(rows.where("n > 0").groupBy("cid").agg(F.min("id").alias("id")), f"{path}/classes")
-    first = classes.select(F.col("cid").alias("class"), F.col("id").alias("first"))
-    reps = stored(rows.where("n > 0").join(first, (F.col("cid") == F.col("class")) & F.col("id").eqNullSafe(F.col("first"))).select("cid", "id", "copy", "n", "minwise", *SKETCH).dropDuplicates(["cid"]), f"{path}/reps")
+    same = [F.first(c).alias(c) for c in ("n", "minwise", *SKETCH)]
+    reps = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "copy")).alias("holder"), F.count("*").alias("copies"), *same)
+    reps = stored(reps.withColumn("cid", F.monotonically_increasing_id()), f"{path}/reps")
     looks = {x: reps.select(F.col("cid").alias(x), *(F.col(k).alias(x + k) for k in ("n", *SKETCH))) for x in "ab"}
     roots, links = None, None
 
@@ -290,45 +293,100 @@ def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         add(near.groupBy("b").agg(F.max_by("a", _agreement("a", "b")).alias("a")).select("a", "b"), f"star{k}")
         remove(spark, f"{path}/few{k}")
 
-    # All trees: pairs of sets that are not yet in one component.
-    level, found = entries(reps, range(trees), share), None
-    for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
-        known = rooted(level, f"level{depth}")
-        mixed = known.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node", "size")
-        mixed = stored(known.join(mixed, "node").select("node", "cid", "root", "size"), f"{path}/mixed{depth}")
-        small = stored(mixed.where(F.col("size") <= SMALL_NODE).join(reps.select("cid", "n", *SKETCH), "cid"), f"{path}/small{depth}")
-        x, y = (small.select("node", F.col("cid").alias(c), F.col("root").alias(c + "root"), *(F.col(k).alias(c + k) for k in ("n", *SKETCH))) for c in "ab")
-        pairs = x.join(y, (x["node"] == y["node"]) & (F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & _alike(percent, "a", "b")).select("a", "b").distinct()
-        pairs = stored(pairs, f"{path}/pairs{depth}")
-        found = pairs if found is None else found.unionByName(pairs)
-        large = mixed.where(F.col("size") > SMALL_NODE)
-        if depth == LAST_DEPTH or large.isEmpty():
-            break
-        level = branches(large.join(reps.select("cid", "minwise"), "cid"), share)
-    add(found.distinct(), "all")
+    # All trees, a few at a time: pairs of sets that are not yet in one component.
+    found, deep = [], []
+    for first in range(0, trees, TREES_AT_ONCE):
+        level = entries(reps, range(first, min(first + TREES_AT_ONCE, trees)), share)
+        for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
+            name = f"{first}-{depth}"
+            known = rooted(level, f"level{name}")
+            mixed = known.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node", "size")
+            mixed = stored(known.join(mixed, "node").select("node", "cid", "root", "size"), f"{path}/mixed{name}")
+            remove(spark, f"{path}/level{name}")
+            small = stored(mixed.where(F.col("size") <= SMALL_NODE).join(reps.select("cid", "n", *SKETCH), "cid"), f"{path}/small{name}")
+            x, y = (small.select("node", F.col("cid").alias(c), F.col("root").alias(c + "root"), *(F.col(k).alias(c + k) for k in ("n", *SKETCH))) for c in "ab")
+            pairs = x.join(y, (x["node"] == y["node"]) & (F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & _alike(percent, "a", "b")).select("a", "b").distinct()
+            found.append(stored(pairs, f"{path}/pairs{name}"))
+            remove(spark, f"{path}/small{name}")
+            large = mixed.where(F.col("size") > SMALL_NODE)
+            if depth == LAST_DEPTH or large.isEmpty():
+                break
+            level = branches(large.join(reps.select("cid", "minwise"), "cid"), share)
+        deep.append(large.select("node", "cid"))
+    add(reduce(DataFrame.unionByName, found).distinct(), "all")
 
     # What is left in large nodes: sets that share such nodes form groups, each compared as a whole.
-    rest = rooted(large.select("node", "cid"), "rest")
+    rest = rooted(reduce(DataFrame.unionByName, deep), "rest")
     mixed = rest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("node")
     rest = stored(rest.join(mixed, "node"), f"{path}/rest-mixed")
     if not rest.isEmpty():
         groups = components(rest.select(F.col("node").alias("a"), F.col("cid").alias("b")), f"{path}/groups").withColumnRenamed("root", "grp")
         members = rest.select("cid", "root").distinct().join(groups, F.col("cid") == F.col("id")).select("grp", "cid", "root").join(reps.select("cid", "n", *SKETCH), "cid")
         members = stored(members, f"{path}/members")
-        join(in_blocks(members, texts_of(members.select("cid"), docs, reps, id_col, text_col, f"{path}/member-ids"), width, percent).distinct(), "blocks")
+        join(in_blocks(members, texts_of(members.select("cid"), docs, reps, id_col, text_col, f"{path}/member-ids"), width, percent, f"{path}/member-texts").distinct(), "blocks")
 
-    linked = classes.join(roots.select(F.col("id").alias("cid"), "root"), "cid")
-    least = linked.groupBy("root").agg(F.min("id").alias("component"))
-    linked = linked.join(least, "root").select("cid", "component")
-    known = classes.join(linked, "cid", "left").select("cid", F.coalesce("component", "id").alias("component"))
+    linked = reps.select("cid", "h1", "h2", "id", "holder").join(roots.select(F.col("id").alias("cid"), "root"), "cid")
+    linked = linked.join(linked.groupBy("root").agg(F.min("id").alias("component"), F.min("holder").alias("leader")), "root").select("h1", "h2", "component", "leader")
+    # Sets that occur once and have no link are components of their own.
+    known = reps.where("copies > 1").select("h1", "h2", "id", "holder").join(linked, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("component", "id").alias("component"), F.coalesce("leader", "holder").alias("leader"))
     known = stored(known, f"{path}/components")
-    for part in ("level", "mixed", "small"):
-        for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
-            remove(spark, f"{path}/{part}{depth}")
-    out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(known, "cid", "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    remove_but(spark, path, "sets", "components")
+    out = rows.select("id", "copy", "n", *(F.when(F.col("n") > 0, F.col(c)).alias(c) for c in ("h1", "h2"))).join(known, ["h1", "h2"], "left")
+    own = F.when(F.col("n") > 0, F.struct(F.col("id").isNull().alias("null_id"), "id", "copy"))
+    return out.select("id", "copy", "n", F.coalesce("component", "id").alias("component"), F.coalesce("leader", own).alias("leader"))
+
+
+def similar_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
+    """Per row: id_col, n_shingles, component_id, kept.
+
+    Rows whose sets of `width`-word shingles have 100 x intersection >= percent x union are linked; component_id is the
+    smallest id that links reach. A text with fewer words is one shingle; a null or empty text has none and links with
+    nothing. Rows with equal sets are one class from the start and links are sought between classes, so copies cost one
+    comparison. Repeated ids are rows of their own. A null id takes part, but is never the smallest. An empty table
+    gives an empty one. Only the id and the text are read, so other columns cannot clash. A pair just at the threshold
+    is found with probability `recall` in nodes of any depth; a more similar one is missed still more rarely. Equal sets are
+    those whose two 64-bit hashes are equal.
+    """
+    out = _grouped(docs, id_col, text_col, width, percent, recall)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
+    """docs, with all their columns, but for all rows of each component except its first, by id (nulls last), then by a
+    hash of the text; of rows equal in both any one stays. Rows without words are all left. A row goes for its own text
+    alone, whatever rows share its id."""
+    rows = stored(_grouped(docs, id_col, text_col, width, percent, recall).where("leader IS NOT NULL"), f"{shared_dir(docs.sparkSession)}/grouped")
+    first = (F.col("leader.copy") == F.col("copy")) & F.col("leader.id").eqNullSafe(F.col("id"))
+    key = F.struct("id", "copy")
+
+    def listed(some: DataFrame, name: str) -> DataFrame:
+        some = stored(some, f"{shared_dir(docs.sparkSession)}/{name}")
+        return F.broadcast(some) if some.count() <= BROADCAST_IDS else some
+
+    gone = listed(rows.where(~first).select(key.alias("__gone")).distinct(), "gone")
+    left = docs.join(gone, row_key(id_col, text_col) == F.col("__gone"), "left_anti")
+    twice = rows.where(first).groupBy(key.alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1").select("__twice")
+    twice = listed(twice, "twice")
+    if twice.isEmpty():
+        return left
+    same = row_key(id_col, text_col) == F.col("__twice")
+    once = left.join(twice, same).dropDuplicates(["__twice"]).select(*(left["`" + c.replace("`", "``") + "`"] for c in docs.columns))
+    return left.join(twice, same, "left_anti").unionByName(once)
 
 
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_sets(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=3, percent=85)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+m AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT doc_id, n AS n_shingles, root AS component_id, doc_id = root AS kept FROM n JOIN m ON m.id = doc_id
+"""
