@@ -31,24 +31,71 @@ SENTENCES = (
     ("redistribution and use in source and binary forms with or without modification are permitted", "B1"),
     ("neither the name of the copyright holder nor the names of its contributors may be used", "B2"),
     ("all rights reserved", "R1"),
+    ("licensed under the mit license", "M4"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "I1"),
+    ("the software is provided as is and the author disclaims all warranties", "I2"),
+    ("this software is provided as is without any express or implied warranty", "Z1"),
+    ("permission is granted to anyone to use this software for any purpose including commercial applications", "Z2"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0", "P1"),
+    ("licensed under the mozilla public license version 2 0", "P2"),
+    ("under the terms of the gnu lesser general public license", "L1"),
+    ("licensed under the gnu lesser general public license version 3", "L2"),
+    ("licensed under the gnu lesser general public license version 2 1", "L3"),
+    ("under the terms of the gnu affero general public license", "F1"),
+    ("licensed under the gnu affero general public license version 3", "F2"),
+    ("licensed under the gnu general public license version 2", "G4"),
+    ("this is free and unencumbered software released into the public domain", "U1"),
+    ("anyone is free to copy modify publish use compile sell or distribute this software", "U2"),
+    ("dedicated to the public domain", "D1"),
+    ("cc0 1 0 universal", "D2"),
+    ("licensed under a creative commons attribution sharealike 4 0 international license", "C3"),
+    ("licensed under a creative commons attribution noncommercial 4 0 international license", "C4"),
+    ("licensed under cc by 4 0", "C5"),
+    ("licensed under cc by sa 4 0", "C6"),
+    ("redistributions of source code must retain the above copyright notice", "B3"),
+    ("redistributions in binary form must reproduce the above copyright notice", "B4"),
+    ("this software is provided by the copyright holders and contributors as is", "B5"),
+    ("distributed under the boost software license version 1 0", "O1"),
+    ("made available under the terms of the eclipse public license 2 0", "E1"),
+    ("spdx license identifier mit", "S1"),
+    ("spdx license identifier apache 2 0", "S2"),
+    ("spdx license identifier gpl 3 0 or later", "S3"),
+    ("spdx license identifier bsd 3 clause", "S4"),
+    ("spdx license identifier mpl 2 0", "S5"),
 )
 #: (licence, pattern over the identifiers, each with a leading and a trailing space), most specific first: a text has
 #: every licence whose pattern is found, but for those that a listed earlier licence of the same family implies.
 RULES = (
     ("Apache-2.0-header", " A1 (?:[A-Z][0-9] )?A2 A3 "),
-    ("Apache-2.0", " A1 "),
+    ("Apache-2.0", " (?:A1|S2) "),
     ("GPL-3.0-notice", " G2 G3 "),
-    ("GPL-3.0", " G1 "),
+    ("GPL-3.0", " (?:G1|S3) "),
+    ("GPL-2.0", " G4 "),
+    ("AGPL-3.0-notice", " G2 (?:[A-Z][0-9] )*F1 "),
+    ("AGPL-3.0", " F2 "),
+    ("LGPL-notice", " (?:[A-Z][0-9] )*L1 "),
+    ("LGPL-3.0", " L2 "),
+    ("LGPL-2.1", " L3 "),
+    ("MPL-2.0", " (?:P1|P2|S5) "),
+    ("EPL-2.0", " E1 "),
+    ("BSL-1.0", " O1 "),
     ("MIT-text", " M2 (?:[A-Z][0-9] )*M3 "),
-    ("MIT", " M1 "),
-    ("CC-BY-NC-4.0", " C1 "),
-    ("CC-BY-4.0", " C2 "),
-    ("BSD-3-Clause", " B1 (?:[A-Z][0-9] )*B2 "),
+    ("MIT", " (?:M1|M4|S1) "),
+    ("ISC", " I1 (?:[A-Z][0-9] )*I2 "),
+    ("Zlib", " Z1 (?:[A-Z][0-9] )*Z2 "),
+    ("Unlicense", " U1 (?:[A-Z][0-9] )*U2 "),
+    ("CC0-1.0", " (?:D2 (?:[A-Z][0-9] )*D1|D1 (?:[A-Z][0-9] )*D2) "),
+    ("CC-BY-NC-4.0", " (?:C1|C4) "),
+    ("CC-BY-SA-4.0", " (?:C3|C6) "),
+    ("CC-BY-4.0", " (?:C2|C5) "),
+    ("BSD-3-Clause", " (?:B1 (?:[A-Z][0-9] )*B2|S4) "),
+    ("BSD-2-Clause", " B1 (?:[A-Z][0-9] )*B3 (?:[A-Z][0-9] )*B4 "),
     ("BSD", " B1 "),
+    ("public-domain", " (?:U1|D1) "),
     ("proprietary", " R1 "),
 )
 #: (licence, licence that it implies): the implied one is left out beside it.
-IMPLIED = (("Apache-2.0-header", "Apache-2.0"), ("BSD-3-Clause", "BSD"))
+IMPLIED = (("Apache-2.0-header", "Apache-2.0"), ("BSD-3-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD"), ("BSD-2-Clause", "BSD"), ("Unlicense", "public-domain"), ("CC0-1.0", "public-domain"))
 #: A sentence ends at a blank line, at ; ! or ?, and at a period before white space or the end.
 SPLIT = r"\n\s*\n|[;!?]+|[.]+(?=\s|$)"
 
@@ -104,7 +151,9 @@ l AS (SELECT doc_id, n_sentences, ids, list_filter(["""
     + ", ".join(f"CASE WHEN regexp_matches(' ' || ids || ' ', '{p}') THEN '{n}' END" for n, p in RULES)
     + r"""], lambda r: r IS NOT NULL) AS h FROM g)
 SELECT d.doc_id, coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentence_ids,
-       coalesce(array_to_string(list_filter(h, lambda r: NOT ((r = 'Apache-2.0' AND list_contains(h, 'Apache-2.0-header')) OR (r = 'BSD' AND list_contains(h, 'BSD-3-Clause')))), ','), '') AS licenses
+       coalesce(array_to_string(list_filter(h, lambda r: NOT ("""
+    + " OR ".join(f"(r = '{b}' AND list_contains(h, '{a}'))" for a, b in IMPLIED)
+    + r""")), ','), '') AS licenses
 FROM documents d LEFT JOIN l USING (doc_id)
 """
 )
