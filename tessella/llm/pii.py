@@ -269,11 +269,11 @@ _LOOK[[*range(48, 58), 0x40]] = True
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
-    """Per row: id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret.
+    """Per row: id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_spans (of all kinds).
 
     Spans are kind:start:end in code points, by start, then kind; a secret that overlaps a pattern's span is left out.
-    Null and empty texts have none. Repeated rows are searched one by one; only the id is carried over, so other columns
-    cannot clash. A worker holds a few megabytes of text at a time, or one longer text.
+    Null and empty texts have none, an empty table gives an empty one. Repeated rows are searched one by one; only the id
+    is carried over, so other columns cannot clash. A worker holds a few megabytes of text at a time, or one longer text.
     """
     field = field or default_field()
     bound_batches(docs.sparkSession)
@@ -326,7 +326,8 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fie
 
     names = ["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret"]
     schema = T.StructType([slim.schema["id"], *(T.StructField(c, T.StringType() if c in ("base_sha256", "spans") else T.LongType()) for c in names[1:])])
-    return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    found = slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return found.withColumn("n_spans", F.expr("n_email + n_ip + n_card + n_phone + n_secret"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
