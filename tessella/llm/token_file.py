@@ -12,7 +12,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -71,7 +71,9 @@ def pack(ids: np.ndarray) -> bytes:
     for w in np.unique(width):
         if w:
             rows = np.flatnonzero(width == w)
-            bits = np.unpackbits(x[rows].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, : int(w)]
+            kind = "<u2" if w <= 16 else "<u4"  # exceptions lose bits here, and are listed whole
+            raw = x[rows].astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+            bits = np.unpackbits(raw, axis=1, bitorder="little")[:, : int(w)]
             body = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             packed[(starts[rows].astype(np.int64)[:, None] + np.arange(body.shape[1])).ravel()] = body.ravel()
     parts = (low.astype("<u4"), width, odd.sum(axis=1).astype(np.uint8), starts.astype("<u8"), packed, where[:, 1].astype(np.uint8), x[odd].astype("<u4"))
@@ -107,9 +109,10 @@ class Blocks:
             if w:
                 rows = np.flatnonzero(width == w)
                 body = self.packed[self.starts[first + rows].astype(np.int64)[:, None] + np.arange(int(w) * BLOCK // 8)]
-                bits = np.zeros((len(rows) * BLOCK, 32), np.uint8)
+                kind = "<u2" if w <= 16 else "<u4"
+                bits = np.zeros((len(rows) * BLOCK, 8 * np.dtype(kind).itemsize), np.uint8)
                 bits[:, : int(w)] = np.unpackbits(body, axis=1, bitorder="little").reshape(-1, int(w))
-                out[rows] = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(len(rows), BLOCK)
+                out[rows] = np.packbits(bits, axis=1, bitorder="little").view(kind).reshape(len(rows), BLOCK)
         skip = int(self.odd[:first].sum(dtype=np.int64))
         count = self.odd[first:last].astype(np.int64)
         row = np.repeat(np.arange(last - first), count)
@@ -180,7 +183,8 @@ class Encoder:
         chunks = [fresh[k : k + 2000] for k in range(0, len(fresh), 2000)]
         got = np.concatenate([np.array(self.library.encode_batch_fast([" ".join(c)], add_special_tokens=False)[0].ids, np.uint32) for c in chunks])
         piece_ends = np.flatnonzero(self.ends_piece[got]) + 1
-        ends = self.ends[-1] + piece_ends[np.cumsum([len(_PIECES.findall(w)) for w in fresh]) - 1]
+        # Letters alone are one piece.
+        ends = self.ends[-1] + piece_ends[np.cumsum([1 if w.isalpha() else len(_PIECES.findall(w)) for w in fresh]) - 1]
         self.at.update(zip(fresh, range(len(self.at), len(self.at) + len(fresh)), strict=True))
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(int(ends[-1]), len(self.ids)), np.uint32)])
@@ -191,7 +195,7 @@ class Encoder:
         """All ids of the texts and the number for each."""
         whole = {k: t for k, t in enumerate(texts) if _needs_library(t)}
         split = [[] if k in whole else t.lower().split() for k, t in enumerate(texts)]
-        flat = [w for s in split for w in s]
+        flat = list(chain.from_iterable(split))
         known = self._places(flat)
         size = np.diff(self.ends)[known] if len(flat) else np.zeros(0, np.int64)
         last = np.cumsum(size)
