@@ -26,7 +26,7 @@ def columnar(points: DataFrame, group: str, order: str, columns: Sequence[tuple[
     """(group, n, one array of whole numbers for each column), points in order."""
     names = [c for c, _ in columns]
     rows = whole(points, columns).groupBy(group).agg(F.sort_array(F.collect_list(F.struct(order, *names))).alias("r"))
-    return rows.select(group, F.size("r").alias("n"), *(F.transform("r", lambda x, c=c: x[c]).alias(c) for c in names))
+    return rows.select(group, F.size("r").alias("n"), *(F.col(f"r.{c}").alias(c) for c in names))
 
 
 def integer_json(columns: DataFrame, group: str) -> DataFrame:
@@ -43,10 +43,10 @@ def _bytes(values: str, size: int) -> Column:
 def fixed(columns: DataFrame, group: str, sizes: Sequence[int] = (4, 4, 2)) -> DataFrame:
     """(group, packed): the arrays one after the other, in 4, 4 and 2 bytes a number; a number that does not fit is an error."""
     names = [c for c in columns.columns if c not in (group, "n")]
-    fits = [F.forall(c, lambda v, s=s: v.between(-(1 << 8 * s - 1), (1 << 8 * s - 1) - 1)) for c, s in zip(names, sizes, strict=True)]
-    good = fits[0]
-    for f in fits[1:]:
-        good = good & f
+    good = F.lit(True)
+    for c, s in zip(names, sizes, strict=True):
+        bound = 1 << 8 * s - 1
+        good = good & (F.coalesce(F.array_min(c), F.lit(0)) >= -bound) & (F.coalesce(F.array_max(c), F.lit(0)) < bound)
     body = F.concat(*(_bytes(c, s) for c, s in zip(names, sizes, strict=True)))
     return columns.select(group, F.when(good, F.unhex(body)).otherwise(F.raise_error(F.lit("a number does not fit its bytes")).cast("binary")).alias("packed"))
 
@@ -68,8 +68,12 @@ def relative(columns: DataFrame, group: str) -> DataFrame:
     names = [c for c in columns.columns if c not in (group, "n")]
     low, high = F.array(*(F.array_min(c) for c in names)), F.array(*(F.array_max(c) for c in names))
     ready = columns.withColumns({"low": low, "high": high})
-    share = lambda v, k: F.round((v - F.col("low")[k]) * F.lit(65535.0) / F.greatest(F.lit(1), F.col("high")[k] - F.col("low")[k]), 0).cast("long")
-    scaled = ready.withColumns({c: F.transform(c, lambda v, k=k: share(v, k)) for k, c in enumerate(names)})
+
+    def share(c: str, k: int) -> Column:
+        at, span = F.col("low")[k], F.greatest(F.lit(1), F.col("high")[k] - F.col("low")[k])
+        return F.transform(c, lambda v: F.round((v - at) * F.lit(65535.0) / span, 0).cast("long"))
+
+    scaled = ready.withColumns({c: share(c, k) for k, c in enumerate(names)})
     return scaled.select(group, "low", "high", F.unhex(F.concat(*(_bytes(c, 2) for c in names))).alias("packed"))
 
 

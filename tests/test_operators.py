@@ -179,7 +179,7 @@ def test_interpolation(spark):
     w = [(1.0, 4.0), (2.0, 4.0), (3.0, 64.0)]
     assert got == {1: (1.5, 3), 2: (2.0, 3), 3: (round(sum(v / d for v, d in w) / sum(1 / d for _, d in w), 6), 3), 4: (None, 0), 5: (9.0, 1)}
     deep = {r.k: (r.depth, r.x, r.y) for r in surface.deepest(p.where("k IN (2, 4)"), s, key="k", radius=10.0, step=5.0, reach=10.0).collect()}
-    assert deep == {2: (3.0, 10.0, 0.0)}
+    assert deep == {2: (3.0, 10.0, -5.0)}  # of equals the first by x, then y
 
 
 def test_surface_and_contours(spark):
@@ -205,7 +205,7 @@ def test_packings(spark):
     d = packing.numbers_of({r.g: bytes(r.packed) for r in packing.delta_varints(c, "g").collect()}["a"])
     assert [list(itertools.accumulate(d[k : k + 3])) for k in (0, 3, 6)] == list(got["a"][1:])
     near = {r.g: r for r in packing.relative(c, "g").collect()}["a"]
-    x = np.frombuffer(bytes(near.packed), "<u2").reshape(3, 3)
+    x = np.frombuffer(bytes(near.packed), "<u2").reshape(3, 3).astype(float)
     for k in range(3):
         back = near.low[k] + x[k] * max(1, near.high[k] - near.low[k]) / 65535
         assert np.abs(back - got["a"][k + 1]).max() <= max(1, near.high[k] - near.low[k]) / 65535
