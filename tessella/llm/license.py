@@ -36,7 +36,7 @@ SENTENCES = (
     ("the software is provided as is and the author disclaims all warranties", "I2"),
     ("this software is provided as is without any express or implied warranty", "Z1"),
     ("permission is granted to anyone to use this software for any purpose including commercial applications", "Z2"),
-    ("this source code form is subject to the terms of the mozilla public license v 2 0", "P1"),
+    ("this source code form is subject to the terms of the mozilla public license v", "P1"),
     ("licensed under the mozilla public license version 2 0", "P2"),
     ("under the terms of the gnu lesser general public license", "L1"),
     ("licensed under the gnu lesser general public license version 3", "L2"),
