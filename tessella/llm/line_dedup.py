@@ -45,6 +45,8 @@ STAR_ROUNDS = 2
 #: Ids that are broadcast at most, by count; beyond it a join shuffles.
 BROADCAST_IDS = 1 << 20
 SHARDS_PER_PARTITION = 6
+#: Codec of the table of distinct lines, which is about as large as the input: it saves disk and takes memory of its own.
+CODEC = "zstd"
 #: Bytes of lines whose keys are made and packed at once.
 KEY_BYTES = 1 << 20
 _ONE = np.uint64(1)
@@ -235,11 +237,11 @@ def lines_of(slim: DataFrame, least: int, bodies_from: int | None = None) -> Dat
     return slim.mapInArrow(run, T.StructType([T.StructField(c, k) for c, k in zip(names, kinds, strict=False)]))
 
 
-def distinct_lines(slim: DataFrame, least: int, bodies_from: int, path: str) -> DataFrame:
+def distinct_lines(slim: DataFrame, least: int, bodies_from: int, path: str, codec: str) -> DataFrame:
     """(lid, h, first, n, body): each distinct line, numbered, with its first place and how often it occurs."""
     every = lines_of(slim, least, bodies_from)
     found = every.groupBy("h").agg(F.min(F.struct("id", "copy", "line")).alias("first"), F.count("*").alias("n"), F.first("body", ignorenulls=True).alias("body"))
-    return stored(found.withColumn("lid", F.monotonically_increasing_id()), path, "gzip")  # about as large as the input
+    return stored(found.withColumn("lid", F.monotonically_increasing_id()), path, codec)
 
 
 def _counts_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -474,7 +476,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int
     path = shared_dir(spark)
     linked_from = max(least, CHARS_PER_EDIT * edits, 1)
     slim = _slim(docs, id_col, text_col)
-    lines = distinct_lines(slim, least, linked_from, f"{path}/distinct")
+    lines = distinct_lines(slim, least, linked_from, f"{path}/distinct", CODEC if count else "snappy")  # a removal runs beside other stages' heaps
     roots, degree = linked(lines.where("body IS NOT NULL").select("lid", "body"), edits, count, path)
     some = lines.select("lid", "h", "first").join(roots.withColumnRenamed("id", "lid"), "lid")
     some = some.join(degree, "lid", "left") if count else some.withColumn("n_links", F.lit(None).cast("long"))
