@@ -728,11 +728,10 @@ SELECT o.rel_id, o.pos, (1 + count(h.ipos))::INT AS n_rings, coalesce(string_agg
 )
 def rings_with_holes(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
-    square = lambda x, y, side: F.array(*(F.struct((x + side * a).alias("x"), (y + side * b).alias("y"), k.alias("who")) for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))))
+    square = lambda x, y, side: F.array(*(F.struct((x + side * a).alias("x"), (y + side * b).alias("y")) for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))))
     ring = F.when(k % 2 == 0, square((k * 37 % 100).cast("double"), (k * 91 % 100).cast("double"), 10.0)).otherwise(square(k * 53 % 100 + 0.25, k * 29 % 100 + 0.25, 1.0))
     m = S.table(spark, d, "customer").select(F.col("c_nationkey").alias("rel_id"), k.alias("pos"), F.when(k % 2 == 0, "outer").otherwise("inner").alias("role"), ring.alias("ring"))
-    holes = F.transform(F.slice("rings", 2, 1000), lambda r: F.get(r, F.lit(0))["who"].cast("string"))
-    return spatial.with_holes(m).select("rel_id", "pos", F.size("rings").alias("n_rings"), F.array_join(holes, ",").alias("holes"))
+    return spatial.holes_of(m, of="pos").select("rel_id", "pos", (F.size("holes") + 1).alias("n_rings"), F.array_join(F.transform("holes", lambda h: h.cast("string")), ",").alias("holes"))
 
 
 @query(
