@@ -208,6 +208,20 @@ def test_holes(spark):
     assert {(r.rel_id, r.pos): [x[0].x for x in r.rings] for r in spatial.with_holes(m).collect()} == {(1, 0): [0.0, 4.0, 1.0], (1, 3): [19.0, 20.0], (2, 0): [0.0]}
 
 
+def test_holes_of_many_rings(spark):
+    """Rings of many sizes and equal ones, more than a thousand holes in one, against all pairs; rings meet only on cells."""
+    box = lambda x, y, a: [(x, y), (x + a, y), (x + a, y + a), (x, y + a)]
+    outer = [(k % 2, k, "outer", (float(k * 37 % 100 - 50), float(k * 91 % 100 - 50), 0.5 * 2.0 ** (k % 8))) for k in range(0, 400)] + [(0, 400, "outer", (-100.0, -100.0, 300.0)), (1, 401, "outer", (0.0, 0.0, 0.0))]
+    inner = [(k % 2, k, "inner", (float(k * 53 % 100 - 50) + 0.3, float(k * 29 % 101 - 50) + 0.3, 0.25)) for k in range(1000, 3100)]
+    m = spark.createDataFrame([(r, k, role, box(*b)) for r, k, role, b in outer + inner] + [(0, 5000, "outer", None), (None, 5001, "inner", box(0.0, 0.0, 1.0))], "rel_id int, pos int, role string, ring array<struct<x: double, y: double>>")
+    got = spatial.holes_of(m, of="pos")
+    holds = lambda o, i: all(o[c] <= i[c] + 0.125 < o[c] + o[2] for c in (0, 1))
+    want = {(r, k): [j for q, j, _, i in inner if q == r and holds(o, i)] for r, k, _, o in outer} | {(0, 5000): []}
+    assert {(x.rel_id, x.pos): x.holes for x in got.collect()} == want and len(want[0, 400]) == 1050
+    meet = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert sum("bx#" in line and "by#" in line for line in meet) == 1
+
+
 def test_masks_as_arrays(spark, tmp_path):
     df = spark.createDataFrame([("a", 0, 0, True), ("a", 2, 1, True), ("a", 1, 1, None), ("b", 0, 1, False)], "region string, row int, col int, bit boolean")
     formats.save_masks(df, str(tmp_path / "m"))
