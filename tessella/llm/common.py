@@ -81,6 +81,13 @@ def remove_but(spark: SparkSession, path: str, *names: str) -> None:
             fs.delete(s.getPath(), True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let go of the plans of queries that are done, which Python's cycles hold in the driver's JVM, and of their shuffle files:
+    many queries in a row would grow its heap to the limit, and it gives memory back only when it is collected as a whole."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def local_path(path: str) -> str:
     """The path that a process opens for a shared folder; only mounted folders can be memory-mapped."""
     if "://" not in path and not path.startswith("file:"):

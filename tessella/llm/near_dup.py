@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, components, distinct_sets, mix, release, remove, remove_but, row_key, shared_dir, shingles, slices, stored, string_buffers, words
+from .common import bound_batches, components, distinct_sets, forget, mix, release, remove, remove_but, row_key, shared_dir, shingles, slices, stored, string_buffers, words
 
 FUNCTIONS = 128
 RECALL = 0.9999
@@ -292,6 +292,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
         near = star.select("a", "b").join(looks["a"], "a").join(looks["b"], "b").where(_alike(percent, "a", "b"))
         add(near.groupBy("b").agg(F.max_by("a", _agreement("a", "b")).alias("a")).select("a", "b"), f"star{k}")
         remove(spark, f"{path}/few{k}")
+        forget(spark)
 
     # All trees, a few at a time: pairs of sets that are not yet in one component.
     found, deep = [], []
@@ -313,6 +314,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
                 break
             level = branches(large.join(reps.select("cid", "minwise"), "cid"), share)
         deep.append(large.select("node", "cid"))
+        forget(spark)
     add(reduce(DataFrame.unionByName, found).distinct(), "all")
 
     # What is left in large nodes: sets that share such nodes form groups, each compared as a whole.

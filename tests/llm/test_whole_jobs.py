@@ -1,5 +1,6 @@
 """Cases that text operators once left out."""
 
+import pytest
 import random
 from collections import Counter
 
@@ -92,3 +93,25 @@ def test_null_ids(spark):
     docs = table([(None, f"lead in {line} lead out"), (None, "a clean text"), (3, "a clean text"), (3, line)])
     assert {(r.doc_id, r.item_id, r.first_word) for r in decontaminate.leaks(docs, items).collect()} == {(None, 7, 2), (3, 7, 0)}
     assert sorted(map(repr, map(tuple, decontaminate.without_leaks(docs, items).collect()))) == ["(3, 'a clean text')", "(None, 'a clean text')"]
+
+
+def test_driver_forgets_queries_that_are_done(spark, monkeypatch):
+    import weakref
+
+    from tessella.llm import common, near_dup
+
+    class Stop(Exception):
+        pass
+
+    def stop(session):
+        raise Stop
+
+    df = spark.range(3)
+    df.me = df
+    seen = weakref.ref(df)
+    del df
+    common.forget(spark)
+    assert seen() is None
+    monkeypatch.setattr(near_dup, "forget", stop)  # after the first round of trees already
+    with pytest.raises(Stop):
+        near_dup.similar_sets(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string"))
