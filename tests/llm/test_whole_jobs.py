@@ -1,9 +1,10 @@
 """Cases that text operators once left out."""
 
-import pytest
 import random
 from collections import Counter
 
+import pytest
+
 from tessella.llm import decontaminate, license, line_dedup, near_dup, registry
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.'
