@@ -6,6 +6,7 @@ import ctypes
 import gc
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,6 +22,10 @@ SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch, checked as rows are added; the default bounds rows alone, whatever their length.
 BATCH_BYTES = 4 << 20
 
+#: Session setting: seconds after which stored() relieves the executors again; unset: never.
+RELIEF_KEY = "tessella.relief.seconds"
+_relieved = 0.0
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WHITE = np.zeros(256, bool)
@@ -51,6 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     """df written as Parquet and read again: lineage ends in files that every executor sees."""
     df.write.mode("overwrite").option("compression", codec).parquet(path)
+    every = df.sparkSession.conf.get(RELIEF_KEY, None)
+    if every is not None and time.monotonic() - _relieved >= float(every):
+        relieve(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -88,6 +96,15 @@ def forget(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def relieve(spark: SparkSession) -> None:
+    """Have the executors collect their heaps as a whole, one task a core: a heap that many queries in a row have grown to its
+    limit is given back only then, and Python workers need room beside it."""
+    global _relieved
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("x")).write.format("noop").mode("overwrite").save()
+    _relieved = time.monotonic()
+
+
 def local_path(path: str) -> str:
     """The path that a process opens for a shared folder; only mounted folders can be memory-mapped."""
     if "://" not in path and not path.startswith("file:"):

@@ -116,3 +116,29 @@ def test_driver_forgets_queries_that_are_done(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "forget", stop)  # after the first round of trees already
     with pytest.raises(Stop):
         near_dup.similar_sets(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string"))
+
+
+def test_pipeline_relieves_the_executors(spark, monkeypatch):
+    import corpus_pipeline
+    from tessella.llm import common
+
+    collected = lambda: sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Old" in b.getName())
+    before = collected()
+    common.relieve(spark)  # here the executor is the driver's JVM
+    assert collected() > before
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "relieve", lambda s: seen.append("stage"))
+    monkeypatch.setattr(common, "relieve", lambda s: seen.append("write"))
+    monkeypatch.setattr(corpus_pipeline, "RELIEF_SECONDS", 0)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name != "decontaminate":  # needs a benchmark beside the documents
+                seen.clear()
+                stage(spark, docs, "")
+                assert seen[0] == seen[-1] == "stage" and len(seen) >= 2
+                assert ("write" in seen) == (name in ("line_dedup", "near_dedup"))
+    finally:
+        spark.conf.unset(common.RELIEF_KEY)
+    common.stored(docs, f"{common.shared_dir(spark)}/alone")
+    assert seen[-1] == "stage"  # lone queries are left as they were
